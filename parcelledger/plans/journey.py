@@ -213,5 +213,8 @@ def order_journey(
         local_datetime("arrival_at", tz).alias("arrival_time"),
         local_datetime("dropoff_at", tz).alias("dropoff_time"),
     )
-    order = ("event_time", "delivery_time", "order_id", "order_time", "order_status", "failed_reason")
+    order = (
+        "event_time", "delivery_time", "order_id", "pod_time", "pickup_event_time",
+        "cancel_status", "order_time", "order_status", "failed_reason",
+    )
     return pick_first(rows, [KEY], [F.col(c).asc_nulls_first() for c in order])
