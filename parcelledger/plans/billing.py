@@ -167,6 +167,7 @@ def _marketplace_rules(scheme_start: date, tz: str) -> list[Rule]:
     step = F.col("city_type")
     e2e, first, middle, last = (F.col(f"price_{leg}") for leg in ("e2e", "fm", "mm", "lm"))
     heavy = F.col("actual_weight_value")
+    middle_share = (e2e - first - last).cast("decimal(18,4)")
 
     scheme = _source(V.SOURCE_MARKETPLACE) & since("shipping_time", scheme_start, tz)
     inside = scheme & (F.col("origin_status") == V.ORIGIN_INSIDE)
@@ -188,7 +189,7 @@ def _marketplace_rules(scheme_start: date, tz: str) -> list[Rule]:
         Rule(
             "marketplace far full",
             inside & far & whole,
-            fee(fee(tier * first) + fee(heavy * (e2e - first - last)) + fee(tier * last)),
+            fee(fee(tier * first) + fee(heavy * middle_share) + fee(tier * last)),
         ),
         Rule("marketplace first mile", inside & (near | far) & (service == V.FIRST_MILE_ONLY), fee(tier * first)),
         Rule("marketplace near tail", inside & near & tail, fee(fee(tier * middle) + fee(tier * last))),
@@ -263,7 +264,7 @@ def net_fee(**options) -> Column:
     return first_match(net_fee_rules(**options), fee(F.col("total_fee")))
 
 
-def cod_fee() -> Column:
+def cod_fee_rules() -> list[Rule]:
     """Fee on cash collected; only delivered waybills carry one."""
     cash = F.col("cod_value")
 
@@ -273,40 +274,42 @@ def cod_fee() -> Column:
 
     collected = cash > 0
     fixed = F.lit(V.COD_RATE)
-    return first_match(
-        [
-            Rule("not delivered", F.col("pod_record_time").isNull(), fee(F.lit(0))),
-            Rule("platform and express", _source(V.SOURCE_PLATFORM, V.SOURCE_EXPRESS) & collected, taxed(fixed)),
-            Rule(
-                "crossborder city",
-                _source(V.SOURCE_CROSSBORDER) & collected & (F.col("sender_city_name") == V.CROSSBORDER_COD_CITY),
-                fee(cash * fixed),
-            ),
-            Rule(
-                "net-off report",
-                F.col("netoff_waybill").isNotNull() & collected,
-                fee(F.col("netoff_cod_fee") + F.col("netoff_cod_vat")),
-            ),
-            Rule(
-                "api",
-                F.col("api_source").isNotNull()
-                & ~F.col("waybill_source_name").isin(*V.SOURCES_WITHOUT_API_COD)
-                & collected,
-                taxed(F.col("api_cod_rate")),
-            ),
-        ],
-        fee(F.lit(0)),
-    )
+    return [
+        Rule("not delivered", F.col("pod_record_time").isNull(), fee(F.lit(0))),
+        Rule("platform and express", _source(V.SOURCE_PLATFORM, V.SOURCE_EXPRESS) & collected, taxed(fixed)),
+        Rule(
+            "crossborder city",
+            _source(V.SOURCE_CROSSBORDER) & collected & (F.col("sender_city_name") == V.CROSSBORDER_COD_CITY),
+            fee(cash * fixed),
+        ),
+        Rule(
+            "net-off report",
+            F.col("netoff_waybill").isNotNull() & collected,
+            fee(F.col("netoff_cod_fee") + F.col("netoff_cod_vat")),
+        ),
+        Rule(
+            "api",
+            F.col("api_source").isNotNull()
+            & ~F.col("waybill_source_name").isin(*V.SOURCES_WITHOUT_API_COD)
+            & collected,
+            taxed(F.col("api_cod_rate")),
+        ),
+    ]
+
+
+def cod_fee() -> Column:
+    return first_match(cod_fee_rules(), fee(F.lit(0)))
+
+
+def return_fee_rules() -> list[Rule]:
+    return [
+        Rule("net-off report", F.col("netoff_waybill").isNotNull(), fee(F.col("netoff_return_fee"))),
+        Rule("api", F.col("api_source").isNotNull(), fee(F.col("return_fee") * F.col("api_return_rate"))),
+    ]
 
 
 def return_fee() -> Column:
-    return first_match(
-        [
-            Rule("net-off report", F.col("netoff_waybill").isNotNull(), fee(F.col("netoff_return_fee"))),
-            Rule("api", F.col("api_source").isNotNull(), fee(F.col("return_fee") * F.col("api_return_rate"))),
-        ],
-        fee(F.lit(0)),
-    )
+    return first_match(return_fee_rules(), fee(F.lit(0)))
 
 
 def chargeable_weight(value: ColumnLike) -> Column:

@@ -25,6 +25,17 @@ def normalised(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[s
     return [columns[i] for i in order], sorted(repr([row[i] for i in order]) for row in rows)
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
+}
+
+
 def difference(runner, sql: str, spark, con, folder: str) -> str | None:
     """None when both sides agree exactly, else what differs."""
     df = runner(spark, folder)
@@ -33,6 +44,10 @@ def difference(runner, sql: str, spark, con, folder: str) -> str | None:
     want_names, want = normalised([d[0] for d in done.description], done.fetchall())
     if got_names != want_names:
         return f"columns {got_names} != {want_names}"
+    types = dict(df.dtypes)
+    for name, kind, *_ in done.description:
+        if types[name] != TYPES.get(str(kind)):
+            return f"type of {name}: {types[name]} != {kind}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)} rows"
     for mine, theirs in zip(got, want, strict=True):
