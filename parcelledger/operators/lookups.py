@@ -24,6 +24,7 @@ def lookup(
     gate: Column | None = None,
     single: bool = False,
     how: str = "left",
+    spread_nulls_by: str | None = None,
 ) -> DataFrame:
     """Join ``other`` on its key columns and add the columns of ``take``.
 
@@ -31,6 +32,8 @@ def lookup(
     maps a new name to a column of ``other``. ``gate`` is a condition on ``df`` that
     stays in the join condition: rows that fail it are kept without a match.
     ``single`` keeps one row of ``other`` per key (the smallest), so no row multiplies.
+    ``spread_nulls_by`` names a column of ``df`` by which rows without a key are spread
+    over the tasks of a shuffled join instead of meeting in one; for one text key.
     """
     taken = sorted(set(take) & set(df.columns))
     if taken:
@@ -43,7 +46,13 @@ def lookup(
     if single:
         row = F.min(F.struct(*take)).alias("__row")
         right = right.groupBy(*marks).agg(row).select(*marks, "__row.*")
-    pairs = [as_column(left) == F.col(mark) for left, mark in zip(keys.values(), marks, strict=True)]
+    lefts = [as_column(left) for left in keys.values()]
+    pairs = []
+    if spread_nulls_by is not None:
+        (key,) = lefts
+        spare = F.concat(F.lit("no key "), F.xxhash64(spread_nulls_by))
+        lefts, pairs = [F.coalesce(key, spare)], [key.isNotNull()]
+    pairs += [left == F.col(mark) for left, mark in zip(lefts, marks, strict=True)]
     if gate is not None:
         pairs.append(gate)
     return df.join(right, reduce(and_, pairs), how).drop(*marks)
@@ -73,6 +82,7 @@ def tier_lookup(
     value: ColumnLike,
     take: Mapping[str, str],
     gate: Column | None = None,
+    keys: Mapping[str, ColumnLike] | None = None,
     low: str = "Bottom",
     high: str = "Up",
     top_slot: int = 256,
@@ -82,8 +92,11 @@ def tier_lookup(
     Each tier is listed under every whole number it touches, and a row probes only the
     slot of its own value, so the join is an equi-join that scales with either side.
     Values beyond ``top_slot`` share the last slot; the exact bounds are always checked,
-    so a pair meets in one slot only.
+    so a pair meets in one slot only. ``keys`` adds equal columns, as in ``lookup``, so one
+    table may hold the tiers of several tariffs.
     """
+    keys = keys or {}
+    marks = [f"__key{i}" for i in range(len(keys))]
     def slot(number: Column) -> Column:
         inside = F.least(F.greatest(number, F.lit(0)), F.lit(top_slot))
         return F.floor(inside).cast("int")
@@ -96,6 +109,7 @@ def tier_lookup(
             "__slot",
             F.col(low).alias("__low"),
             F.col(high).alias("__high"),
+            *[F.col(name).alias(mark) for name, mark in zip(keys, marks, strict=True)],
             *[F.col(source).alias(name) for name, source in take.items()],
         )
     )
@@ -104,6 +118,8 @@ def tier_lookup(
         & (probe >= F.col("__low"))
         & (probe <= F.col("__high"))
     )
+    for left, mark in zip(keys.values(), marks, strict=True):
+        match = match & (as_column(left) == F.col(mark))
     if gate is not None:
         match = match & gate
-    return df.join(spread, match, "left").drop("__slot", "__low", "__high")
+    return df.join(spread, match, "left").drop("__slot", "__low", "__high", *marks)

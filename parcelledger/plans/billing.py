@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,18 +141,10 @@ def _less(base: Column, share: Column) -> Column:
     return fee(base - fee(base * share))
 
 
-def _express_gross() -> Column:
-    return fee(F.col("express_price") * F.col("express_tier"))
-
-
-def _crossborder_gross() -> Column:
-    return fee(F.col("crossborder_price") * F.col("crossborder_tier"))
-
-
 def gross_fee_rules() -> list[Rule]:
     return [
-        Rule("express card", _source(V.SOURCE_EXPRESS), _express_gross()),
-        Rule("crossborder card", _source(V.SOURCE_CROSSBORDER), _crossborder_gross()),
+        Rule("express card", _source(V.SOURCE_EXPRESS), F.col("card_gross")),
+        Rule("crossborder card", _source(V.SOURCE_CROSSBORDER), F.col("card_gross")),
         Rule("wallet", F.col("wallet_waybill").isNotNull(), fee(F.col("wallet_total"))),
     ]
 
@@ -160,9 +153,9 @@ def gross_fee() -> Column:
     return first_match(gross_fee_rules(), fee(F.col("total_fee")))
 
 
-def _marketplace_rules(scheme_start: date, tz: str) -> list[Rule]:
+def marketplace_rules(scheme_start: date = V.MARKETPLACE_SCHEME_START, tz: str = JAKARTA) -> list[Rule]:
     """Tariff of the marketplace partner by origin, city tier and service miles."""
-    tier = F.col("marketplace_tier")
+    tier = F.col("tier")
     service = F.col("role_miles")
     step = F.col("city_type")
     e2e, first, middle, last = (F.col(f"price_{leg}") for leg in ("e2e", "fm", "mm", "lm"))
@@ -175,77 +168,43 @@ def _marketplace_rules(scheme_start: date, tz: str) -> list[Rule]:
     whole = service == V.FULL_SERVICE
     tail = service == V.MID_AND_LAST_MILE
     return [
+        Rule("outside", scheme & (F.col("origin_status") == V.ORIGIN_OUTSIDE), fee(tier * F.col("price_e2e_tts"))),
+        Rule("near full", inside & near & whole, fee(tier * e2e)),
+        Rule("far full listed", inside & far & whole & (F.col("is_kr_whitelist") == 1), fee(tier * e2e)),
         Rule(
-            "marketplace outside",
-            scheme & (F.col("origin_status") == V.ORIGIN_OUTSIDE),
-            fee(tier * F.col("price_e2e_tts")),
-        ),
-        Rule("marketplace near full", inside & near & whole, fee(tier * e2e)),
-        Rule(
-            "marketplace far full listed",
-            inside & far & whole & (F.col("is_kr_whitelist") == 1),
-            fee(tier * e2e),
-        ),
-        Rule(
-            "marketplace far full",
+            "far full",
             inside & far & whole,
             fee(fee(tier * first) + fee(heavy * middle_share) + fee(tier * last)),
         ),
-        Rule("marketplace first mile", inside & (near | far) & (service == V.FIRST_MILE_ONLY), fee(tier * first)),
-        Rule("marketplace near tail", inside & near & tail, fee(fee(tier * middle) + fee(tier * last))),
-        Rule("marketplace far tail", inside & far & tail, fee(fee(heavy * middle) + fee(tier * last))),
+        Rule("first mile", inside & (near | far) & (service == V.FIRST_MILE_ONLY), fee(tier * first)),
+        Rule("near tail", inside & near & tail, fee(fee(tier * middle) + fee(tier * last))),
+        Rule("far tail", inside & far & tail, fee(fee(heavy * middle) + fee(tier * last))),
     ]
 
 
-def net_fee_rules(
-    scheme_start: date = V.MARKETPLACE_SCHEME_START, tz: str = JAKARTA, faithful: bool = True
-) -> list[Rule]:
+def net_fee_rules(faithful: bool = True) -> list[Rule]:
     """Net fee arms in order of precedence.
 
     The standard discount is switched off in the finance rules as they stand (the rate is
     read as zero); ``faithful=False`` applies it.
     """
     total, standard, received = F.col("total_fee"), F.col("standard_fee"), F.col("receivable_fee")
-    has_api = F.col("api_source").isNotNull()
     special = F.col("key_account_name") == V.SPECIAL_ACCOUNT
-    lite = (F.col("actual_weight_value") < F.lit(V.LITE_WEIGHT_BELOW)) & (
-        F.col("lite_availability") == "Available"
-    )
-    express_net = _less(_express_gross(), F.col("express_discount"))
+    express_net = _less(F.col("card_gross"), F.col("tariff_share"))
     standard_rate = F.lit(0) if faithful else F.coalesce(F.col("standard_rate"), F.lit(0))
 
     def off_standard(share: Column) -> Column:
         return fee(total - fee(standard * share))
 
     return [
-        Rule(
-            "platform card",
-            _source(V.SOURCE_PLATFORM),
-            off_standard(F.when(lite, F.col("platform_lite")).otherwise(F.col("platform_std"))),
-        ),
-        Rule(
-            "crossborder card",
-            _source(V.SOURCE_CROSSBORDER),
-            _less(_crossborder_gross(), F.col("crossborder_discount")),
-        ),
-        Rule(
-            "express card",
-            _source(V.SOURCE_EXPRESS),
-            fee(express_net + fee(express_net * F.lit(V.EXPRESS_TAX))),
-        ),
-        *_marketplace_rules(scheme_start, tz),
-        Rule(
-            "special account rate",
-            special & F.col("special_gross").isNotNull(),
-            _less(received, ratio(F.col("special_gross") - F.col("special_nett"), "special_gross")),
-        ),
-        Rule("special account", special & F.col("special_gross").isNull(), fee(total)),
-        Rule("area rate", _source(*V.SOURCES_AREA_RATE), off_standard(F.col("area_discount"))),
-        Rule(
-            "destination rate",
-            _source(*V.SOURCES_DESTINATION_RATE),
-            _less(total, ratio(F.col("destination_gross") - F.col("destination_nett"), "destination_gross")),
-        ),
+        Rule("platform card", _source(V.SOURCE_PLATFORM), off_standard(F.col("tariff_share"))),
+        Rule("crossborder card", _source(V.SOURCE_CROSSBORDER), express_net),
+        Rule("express card", _source(V.SOURCE_EXPRESS), fee(express_net + fee(express_net * F.lit(V.EXPRESS_TAX)))),
+        Rule("marketplace", F.col("marketplace_arm").isNotNull(), F.col("marketplace_fee")),
+        Rule("special account rate", special & F.col("special_listed"), _less(received, F.col("special_share"))),
+        Rule("special account", special, fee(total)),
+        Rule("area rate", _source(*V.SOURCES_AREA_RATE), off_standard(F.col("tariff_share"))),
+        Rule("destination rate", _source(*V.SOURCES_DESTINATION_RATE), _less(total, F.col("tariff_share"))),
         Rule("net-off report", F.col("netoff_waybill").isNotNull(), fee(F.col("netoff_fee"))),
         Rule("wallet", F.col("wallet_waybill").isNotNull(), fee(F.col("wallet_net"))),
         Rule(
@@ -253,15 +212,16 @@ def net_fee_rules(
             F.col("standard_client").isNotNull(),
             off_standard((standard_rate / F.lit(100)).cast("decimal(18,9)")),
         ),
-        *[
-            Rule(f"api {name}", has_api & (F.col("express_type_name") == name), off_standard(F.col(f"api_{column}")))
-            for name, column in V.API_RATE_COLUMN.items()
-        ],
+        Rule(
+            "api",
+            F.col("api_source").isNotNull() & F.col("express_type_name").isin(*V.API_RATE_COLUMN),
+            off_standard(F.col("api_share")),
+        ),
     ]
 
 
-def net_fee(**options) -> Column:
-    return first_match(net_fee_rules(**options), fee(F.col("total_fee")))
+def net_fee(faithful: bool = True) -> Column:
+    return first_match(net_fee_rules(faithful), fee(F.col("total_fee")))
 
 
 def cod_fee_rules() -> list[Rule]:
@@ -402,7 +362,7 @@ def _with_codes(df: DataFrame, tables: Tables) -> DataFrame:
     for code, alias in V.SOURCE_API_ALIAS.items():
         api_key = F.when(F.col("waybill_source") == code, alias).otherwise(api_key)
     api = tables["dim_api_platform_discounts"].filter(F.col("shipping_client").isNotNull())
-    return lookup(
+    df = lookup(
         df, api, {"option_value": api_key},
         {
             "api_source": "order_source",
@@ -413,55 +373,164 @@ def _with_codes(df: DataFrame, tables: Tables) -> DataFrame:
         },
         gate=F.col("waybill_source") != V.SOURCE_WITHOUT_API_RATE,
     )
+    by_type = [
+        Rule(name, F.col("express_type_name") == name, F.col(f"api_{column}"))
+        for name, column in V.API_RATE_COLUMN.items()
+    ]
+    return _fold(df, {"api_share": first_match(by_type)}, [f"api_{c}" for c in V.API_RATE_COLUMN.values()])
+
 
+def _fold(df: DataFrame, results: dict[str, Column], parts: list[str]) -> DataFrame:
+    """Replace looked-up columns by what the rules need of them.
 
-def _with_rate_cards(df: DataFrame, tables: Tables, as_of: date, tz: str) -> DataFrame:
-    destination = F.concat("recipient_city_name", "recipient_district_name")
-    crossborder_cod = (
-        _source(V.SOURCE_CROSSBORDER)
-        & (F.col("cod_value") > 0)
-        & (F.col("sender_city_name") == V.CROSSBORDER_COD_CITY)
+    A waybill passes a dozen lookups; carrying results instead of parts keeps rows
+    narrow and the generated code small enough to be compiled.
+    """
+    return df.withColumns(results).drop(*parts)
+
+
+ANY = "*"
+PART = "\u001f"
+
+
+def _tariff_key() -> dict[str, Column]:
+    """Key of a waybill into the tariff cards: which card, and the parts it is priced by."""
+    platform, crossborder = _source(V.SOURCE_PLATFORM), _source(V.SOURCE_CROSSBORDER)
+    express, area = _source(V.SOURCE_EXPRESS), _source(*V.SOURCES_AREA_RATE)
+    joined = platform | crossborder
+    card = first_match(
+        [
+            Rule("platform", platform, F.lit("platform")),
+            Rule("crossborder", crossborder, F.lit("crossborder")),
+            Rule("express", express, F.lit("express")),
+            Rule("marketplace", _source(V.SOURCE_MARKETPLACE), F.lit("marketplace")),
+            Rule("area", area, F.lit("area")),
+            Rule(
+                "destination",
+                _source(*V.SOURCES_DESTINATION_RATE),
+                F.concat(F.lit("destination "), "waybill_source_name"),
+            ),
+        ]
     )
-    df = lookup(
-        df, tables["dim_platform_discounts"], {"Lookup": destination, "Origin": "sender_city_name"},
-        {"platform_lite": rate("IDlite"), "platform_std": rate("STD"), "lite_availability": "IDlite_availability"},
-        gate=_source(V.SOURCE_PLATFORM) | crossborder_cod,
+    city, district = F.col("recipient_city_name"), F.col("recipient_district_name")
+    return {
+        "card": card,
+        "origin": F.when(area, ANY).otherwise(F.col("sender_city_name")),
+        "destination": F.when(joined, F.concat(city, district)).otherwise(F.concat(city, F.lit(PART), district)),
+        "express": F.when(express | area, F.col("express_type_name")).otherwise(ANY),
+    }
+
+
+def tariff_cards(tables: Tables) -> DataFrame:
+    """All tariff cards in one table: a waybill is priced by one card, so one lookup serves.
+
+    ``light_share`` is the discount of parcels below half a kilogram, which only the
+    platform card tells apart.
+    """
+    nothing = F.lit(None)
+
+    def card(
+        rows: DataFrame, name: Column, origin: Column, destination: Column, express: Column,
+        price: Column, share: Column, light_share: Column | None = None,
+    ) -> DataFrame:
+        return rows.select(
+            name.alias("card"), origin.alias("origin"), destination.alias("destination"), express.alias("express"),
+            price.cast("decimal(18,4)").alias("price"), share.alias("share"),
+            (share if light_share is None else light_share).alias("light_share"),
+        )
+
+    def place(city: str, district: str) -> Column:
+        return F.concat(city, F.lit(PART), district)
+
+    platform = tables["dim_platform_discounts"]
+    standard = rate("STD")
+    coverage = lookup(
+        tables["dim_area_coverage"], tables["dim_area_discounts"], {"area": "master_agent"},
+        {"area_express": "express_type", "area_discount": "discount"},
+    )
+    parts = [
+        card(
+            platform, F.lit("platform"), F.col("Origin"), F.col("Lookup"), F.lit(ANY), nothing, standard,
+            F.when(F.col("IDlite_availability") == "Available", rate("IDlite")).otherwise(standard),
+        ),
+        card(
+            tables["dim_crossborder_discounts"], F.lit("crossborder"), F.col("origin"), F.col("lookup_destination"),
+            F.lit(ANY), amount("pricing"), rate("discount_rate"),
+        ),
+        card(
+            tables["dim_express_discounts"], F.lit("express"), F.col("origin"), place("kota_kabupaten", "kecamatan"),
+            F.col("express_type"), amount("pricing"), rate("discount"),
+        ),
+        card(
+            coverage, F.lit("area"), F.lit(ANY), place("dest_city", "dest_district"), F.col("area_express"), nothing,
+            rate("area_discount"),
+        ),
+        card(
+            tables["dim_destination_discounts"], F.concat(F.lit("destination "), "waybill_source"), F.col("origin_city"),
+            place("dest_city", "dest_district"), F.lit(ANY), nothing,
+            ratio(amount("gross") - amount("nett"), amount("gross")),
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def weight_tiers(tables: Tables) -> DataFrame:
+    """Weight tiers of the three tariffs that have them, in one table."""
+    names = {
+        "express": "dim_express_weight_tiers",
+        "crossborder": "dim_crossborder_weight_tiers",
+        "marketplace": "dim_marketplace_weight_tiers",
+    }
+    parts = [
+        tables[table].select(F.lit(card).alias("card"), *[amount(c).alias(c) for c in ("Bottom", "Up", "Multiplier")])
+        for card, table in names.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_tariff(df: DataFrame, tables: Tables) -> DataFrame:
+    """Weight multiplier, gross fee and discount share of the waybill's tariff card."""
+    key = _tariff_key()
+    df = tier_lookup(
+        df, weight_tiers(tables), "actual_weight_value", {"tier": "Multiplier"}, keys={"card": key["card"]}
     )
     df = lookup(
-        df, tables["dim_express_discounts"],
+        df, tariff_cards(tables), key,
+        {"card_price": "price", "card_share": "share", "card_light_share": "light_share"},
+    )
+    light = F.col("actual_weight_value") < F.lit(V.LITE_WEIGHT_BELOW)
+    return _fold(
+        df,
         {
-            "kecamatan": "recipient_district_name",
-            "kota_kabupaten": "recipient_city_name",
-            "origin": "sender_city_name",
-            "express_type": "express_type_name",
+            "card_gross": fee(F.col("card_price") * F.col("tier")),
+            "tariff_share": F.when(light, F.col("card_light_share")).otherwise(F.col("card_share")),
         },
-        {"express_price": amount("pricing"), "express_discount": rate("discount")},
-        gate=_source(V.SOURCE_EXPRESS),
-    )
-    df = lookup(
-        df, tables["dim_crossborder_discounts"], {"lookup_destination": destination, "origin": "sender_city_name"},
-        {"crossborder_price": amount("pricing"), "crossborder_discount": rate("discount_rate")},
-        gate=_source(V.SOURCE_CROSSBORDER),
+        ["card_price", "card_share", "card_light_share"],
     )
+
+
+def _with_marketplace(df: DataFrame, tables: Tables, scheme_start: date, tz: str) -> DataFrame:
+    legs = ("e2e", "e2e_tts", "fm", "mm", "lm")
     df = lookup(
         df, tables["dim_marketplace_pricing"],
         {"Origin_City": "order_origin", "Dest_City": "order_destination"},
-        {
-            "origin_status": "status",
-            "city_type": "type_m",
-            **{f"price_{leg}": amount(leg) for leg in ("e2e", "e2e_tts", "fm", "mm", "lm")},
-        },
+        {"origin_status": "status", "city_type": "type_m", **{f"price_{leg}": amount(leg) for leg in legs}},
         gate=F.col("order_source") == V.SOURCE_MARKETPLACE,
     )
-    for tiers, out, code in (
-        ("dim_express_weight_tiers", "express_tier", V.SOURCE_EXPRESS),
-        ("dim_crossborder_weight_tiers", "crossborder_tier", V.SOURCE_CROSSBORDER),
-        ("dim_marketplace_weight_tiers", "marketplace_tier", V.SOURCE_MARKETPLACE),
-    ):
-        bounds = tables[tiers].select(
-            amount("Bottom").alias("Bottom"), amount("Up").alias("Up"), amount("Multiplier").alias("Multiplier")
-        )
-        df = tier_lookup(df, bounds, "actual_weight_value", {out: "Multiplier"}, gate=_source(code))
+    rules = marketplace_rules(scheme_start, tz)
+    named = [Rule(r.name, r.applies, F.lit(r.name)) for r in rules]
+    return _fold(
+        df,
+        {"marketplace_arm": first_match(named), "marketplace_fee": first_match(rules)},
+        [
+            "order_origin", "order_destination", "order_source", "origin_status", "city_type", "tier",
+            "role_miles", "is_kr_whitelist", *[f"price_{leg}" for leg in legs],
+        ],
+    )
+
+
+def _with_account_rates(df: DataFrame, tables: Tables, as_of: date, tz: str) -> DataFrame:
+    """Discounts of the special account and of standard contracts."""
     df = lookup(
         df, tables["dim_special_account_discounts"],
         {
@@ -469,31 +538,11 @@ def _with_rate_cards(df: DataFrame, tables: Tables, as_of: date, tz: str) -> Dat
             "dest_city": "recipient_city_name",
             "dest_district": "recipient_district_name",
         },
-        {"special_gross": amount("_gross_"), "special_nett": amount("_nett_")},
-        gate=F.col("key_account_name") == V.SPECIAL_ACCOUNT,
-    )
-    by_area = _source(*V.SOURCES_AREA_RATE)
-    df = lookup(
-        df, tables["dim_area_coverage"],
-        {"dest_city": "recipient_city_name", "dest_district": "recipient_district_name"},
-        {"master_agent": "master_agent"},
-        gate=by_area,
-    )
-    df = lookup(
-        df, tables["dim_area_discounts"], {"area": "master_agent", "express_type": "express_type_name"},
-        {"area_discount": rate("discount")},
-        gate=by_area,
-    )
-    df = lookup(
-        df, tables["dim_destination_discounts"],
         {
-            "dest_city": "recipient_city_name",
-            "dest_district": "recipient_district_name",
-            "origin_city": "sender_city_name",
-            "waybill_source": "waybill_source_name",
+            "special_listed": F.col("_gross_").isNotNull(),
+            "special_share": ratio(amount("_gross_") - amount("_nett_"), amount("_gross_")),
         },
-        {"destination_gross": amount("gross"), "destination_nett": amount("nett")},
-        gate=_source(*V.SOURCES_DESTINATION_RATE),
+        gate=F.col("key_account_name") == V.SPECIAL_ACCOUNT,
     )
     return lookup(
         df, active_standard_rates(tables["dim_standard_rates"], as_of, tz, distinct=True),
@@ -508,13 +557,17 @@ def _with_rate_cards(df: DataFrame, tables: Tables, as_of: date, tz: str) -> Dat
 
 
 def priced_waybills(
-    tables: Tables, as_of: date, tz: str = JAKARTA, days: int = 1
+    tables: Tables,
+    as_of: date,
+    tz: str = JAKARTA,
+    days: int = 1,
+    scheme_start: date = V.MARKETPLACE_SCHEME_START,
 ) -> DataFrame:
     """The day's waybills with every lookup the fee rules read."""
     rows = _day_waybills(tables["fact_waybill_details"], as_of, days, tz)
-    # Small code and rate tables first: they broadcast and keep the rows in place.
-    facts = _with_waybill_facts(_with_codes(rows, tables), tables, as_of, days, tz)
-    return _with_rate_cards(facts, tables, as_of, tz)
+    rows = _with_waybill_facts(_with_codes(rows, tables), tables, as_of, days, tz)
+    rows = _with_marketplace(_with_tariff(rows, tables), tables, scheme_start, tz)
+    return _with_account_rates(rows, tables, as_of, tz)
 
 
 def daily_billing(
@@ -530,7 +583,7 @@ def daily_billing(
     One row per distinct priced waybill. A net or return fee that no rule could settle is
     taken from the waybill fee table.
     """
-    priced = priced_waybills(tables, as_of, tz, days)
+    priced = priced_waybills(tables, as_of, tz, days, scheme_start)
     charged = priced.select(
         "waybill_no",
         pod_date(tz).alias("pod_date"),
@@ -544,7 +597,7 @@ def daily_billing(
         F.when(F.col("express_type_name") == V.CARGO_EXPRESS, F.col("calculated_weight")).alias("cargo_weight"),
         F.col("total_fee").alias("original_total_shipping_fee"),
         gross_fee().alias("total_shipping_fee"),
-        net_fee(scheme_start=scheme_start, tz=tz, faithful=faithful).alias("net_shipping_fee"),
+        net_fee(faithful).alias("net_shipping_fee"),
         cod_fee().alias("cod_fee"),
         return_fee().alias("return_shipping_fee"),
         F.col("cod_value").alias("cod_amount"),

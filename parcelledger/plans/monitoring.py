@@ -64,7 +64,11 @@ def _order_led(tables: Tables, as_of: date, days: int, tz: str) -> DataFrame:
         "waybill_no", "return_flag", "void_flag", "pod_flag", "pod_record_time",
         "return_pod_record_time", "deleted", "update_time",
     )
-    df = lookup(orders, waybills, {"waybill_no": "waybill_no"}, {f"wb_{c}": c for c in state})
+    # Orders that are not picked up yet have no waybill number.
+    df = lookup(
+        orders, waybills, {"waybill_no": "waybill_no"}, {f"wb_{c}": c for c in state},
+        spread_nulls_by="order_no",
+    )
     df = _decoded(df, tables["system_option"], "order_source")
     flags = _state_flags("wb_")
     return df.select(
@@ -254,4 +258,5 @@ def order_monitoring(tables: Tables, as_of: date, tz: str = JAKARTA, days: int =
             "process_level": "process_level",
             **{name: name for name in FLAGS},
         },
+        spread_nulls_by="order_number",
     )

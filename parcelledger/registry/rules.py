@@ -21,7 +21,8 @@ SCHEME_START = date(2000, 1, 1)
 
 
 def _priced(s: Sample) -> DataFrame:
-    return billing.priced_waybills(sample.sample_tables(s.spark, s.folder, sample.BILLING), FACTS_AS_OF, days=ALL_DAYS)
+    tables = sample.sample_tables(s.spark, s.folder, sample.BILLING)
+    return billing.priced_waybills(tables, FACTS_AS_OF, days=ALL_DAYS, scheme_start=SCHEME_START)
 
 
 def _arms(df: DataFrame, rules: list[Rule], otherwise: Column) -> DataFrame:
@@ -42,9 +43,19 @@ def rule_gross_fee(s: Sample) -> DataFrame:
     return _arms(_priced(s), billing.gross_fee_rules(), fee(F.col("total_fee")))
 
 
-@query(_arms_sql(B.NET_ARMS, B.fee("total_shipping_fee")))
+@query(_arms_sql(B.GROUPED_NET_ARMS, B.fee("total_shipping_fee")))
 def rule_net_fee(s: Sample) -> DataFrame:
-    return _arms(_priced(s), billing.net_fee_rules(SCHEME_START), fee(F.col("total_fee")))
+    return _arms(_priced(s), billing.net_fee_rules(), fee(F.col("total_fee")))
+
+
+@query(_arms_sql(B.MARKETPLACE_ARMS, "NULL"))
+def rule_marketplace_fee(s: Sample) -> DataFrame:
+    decided = _priced(s).select(
+        F.coalesce("marketplace_arm", F.lit("otherwise")).alias("arm"), F.col("marketplace_fee").alias("fee")
+    )
+    return decided.groupBy("arm").agg(
+        F.count(F.lit(1)).alias("waybills"), F.count("fee").alias("settled"), F.sum("fee").alias("fee")
+    )
 
 
 @query(_arms_sql(B.COD_ARMS, B.fee("0")))

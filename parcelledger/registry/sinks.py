@@ -1,0 +1,75 @@
+"""Writers: each query stores its rows below the scratch folder and reads them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parcelledger.operators import merge_upsert
+from parcelledger.plans import journey, monitoring, oms
+from parcelledger.registry import reports as R
+from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query, with_views
+from parcelledger.sources import append_days, export_csv, replace_table, scratch_dir, write_clustered
+from parcelledger.sources.sample import FINANCE, JOURNEY, MONITORING, sample_tables
+
+JOURNEY_ROWS = ", ".join(["*", "CAST(event_time AS DATE) AS event_day"])
+
+
+def _daily(s: Sample, days: int) -> DataFrame:
+    return oms.finance_aggregate(sample_tables(s.spark, s.folder, FINANCE), FACTS_AS_OF, days=days)
+
+
+def _journey(s: Sample, window: journey.Window) -> DataFrame:
+    return R._journey(s, window).withColumn("event_day", F.col("event_time").cast("date"))
+
+
+@query(f"SELECT *, CAST(date_trunc('month', pod_date) AS DATE) AS pod_month FROM ({R.oms_aggregate_sql(R.HISTORY)})")
+def sink_append_days(s: Sample) -> DataFrame:
+    """Load the history, then load its last months again: nothing doubles."""
+    path = scratch_dir(s.spark, "daily")
+    rows = _daily(s, R.HISTORY).withColumn("pod_month", F.trunc("pod_date", "month"))
+    append_days(rows, path, "pod_month", ["pod_date", "waybill_source", "cod_flag"])
+    append_days(rows.filter("pod_month >= '2001-06-01'"), path, "pod_month", ["pod_date", "waybill_source", "cod_flag"])
+    return s.spark.read.parquet(path)
+
+
+@query(with_views(R.JOURNEY_VIEWS, f", {R.PLACED_SQL}, {R.journey_ctes('full')} SELECT {JOURNEY_ROWS} FROM journey"))
+def sink_clustered(s: Sample) -> DataFrame:
+    """First load of the journey mart in day folders."""
+    path = scratch_dir(s.spark, "journey")
+    rows = _journey(s, journey.full_window(EVENTS_AS_OF))
+    write_clustered(rows, path, "event_day", ["tracking_id", "source_hub"])
+    return s.spark.read.parquet(path)
+
+
+@query(with_views(R.MONITORING_VIEWS, f""", {R.base_sql(R.HISTORY)} SELECT *,
+    CAST(date_trunc('month', order_input_datetime) AS DATE) AS order_month FROM base"""))
+def sink_replace(s: Sample) -> DataFrame:
+    """Full refresh: the second load leaves nothing of the first."""
+    path = scratch_dir(s.spark, "monitoring")
+    tables = sample_tables(s.spark, s.folder, MONITORING)
+    for days in (14, R.HISTORY):
+        rows = monitoring.order_base(tables, FACTS_AS_OF, days=days)
+        rows = rows.withColumn("order_month", F.trunc("order_input_datetime", "month"))
+        replace_table(rows, path, "order_month", ["waybill_number", "order_source_name"])
+    return s.spark.read.parquet(path)
+
+
+@query(with_views(R.JOURNEY_VIEWS, f""", {R.PLACED_SQL}, {R.journey_ctes('full')}, {R.journey_ctes('delta', 'changed')},
+    changes AS (SELECT * FROM changed WHERE order_id IS NOT NULL), merged AS ({R.UPSERT_SQL}) SELECT {JOURNEY_ROWS} FROM merged"""))
+def sink_upsert(s: Sample) -> DataFrame:
+    """Daily delta merged into the stored journey mart."""
+    path = scratch_dir(s.spark, "upsert")
+    write_clustered(_journey(s, journey.full_window(EVENTS_AS_OF)), path, "event_day", ["tracking_id", "source_hub"])
+    delta = _journey(s, journey.delta_window(EVENTS_AS_OF)).filter(F.col("order_id").isNotNull())
+    merge_upsert(path, delta, "tracking_id", "event_day")
+    return s.spark.read.parquet(path)
+
+
+@query(R.oms_aggregate_sql(R.HISTORY))
+def sink_csv(s: Sample) -> DataFrame:
+    """Report export with a header line."""
+    path = scratch_dir(s.spark, "export")
+    rows = _daily(s, R.HISTORY)
+    export_csv(rows, path)
+    return s.spark.read.csv(path, header=True, schema=rows.schema)

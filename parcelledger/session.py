@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the next operator wanted its partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join on (waybill, return waybill) may use rows already spread by waybill alone.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Dimensions are never hinted: Spark broadcasts a side only below this size,
     # known from file statistics or measured by adaptive execution.
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 
 
 def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
-    # A range shuffle spreads a hot partition value over tasks by the cluster columns and
-    # leaves each file with a narrow min/max range of them.
+    # A range shuffle spreads a hot partition value (a daily load has just one) over tasks
+    # by the cluster columns and leaves each file with a narrow min/max range of them.
+    if not cluster:
+        raise ValueError("name at least one column with many values to cluster by")
     return df.repartitionByRange(partition, *cluster).sortWithinPartitions(partition, *cluster)
 
 
@@ -20,7 +22,7 @@ def write_clustered(
     _clustered(df, partition, cluster).write.mode(mode).partitionBy(partition).parquet(path)
 
 
-def append_days(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()) -> None:
+def append_days(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> None:
     """Add daily rows; a re-run replaces the days it brings instead of doubling them."""
     (
         _clustered(df, day, cluster)
