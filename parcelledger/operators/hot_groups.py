@@ -49,9 +49,11 @@ def _ranked_by_slices(
     the slice of each row. Equal (group, order) pairs are counted map-side, then summed
     within a slice, and slices are chained by their totals.
     """
-    use_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (
-        df.repartitionByRange(F.col(group), F.col(order))
+        df.repartitionByRange(slices, F.col(group), F.col(order))
         .withColumn("__slice", F.spark_partition_id())
         .checkpoint()
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from parcelledger.functions import (
     weight,
 )
 from parcelledger.functions.columns import ColumnLike, as_column
+from parcelledger.functions.money import AMOUNT, FEE, RATE
 from parcelledger.functions.time import JAKARTA, utc_bound
 from parcelledger.operators import decode, latest_by, lookup, recent, since, tier_lookup
 from parcelledger.operators.filters import within_days
@@ -136,11 +138,6 @@ def _source(*codes: str) -> Column:
     return F.col("waybill_source").isin(*codes) if len(codes) > 1 else F.col("waybill_source") == codes[0]
 
 
-def _less(base: Column, share: Column) -> Column:
-    """``base`` reduced by a share of itself."""
-    return fee(base - fee(base * share))
-
-
 def gross_fee_rules() -> list[Rule]:
     return [
         Rule("express card", _source(V.SOURCE_EXPRESS), F.col("card_gross")),
@@ -153,75 +150,95 @@ def gross_fee() -> Column:
     return first_match(gross_fee_rules(), fee(F.col("total_fee")))
 
 
-def marketplace_rules(scheme_start: date = V.MARKETPLACE_SCHEME_START, tz: str = JAKARTA) -> list[Rule]:
-    """Tariff of the marketplace partner by origin, city tier and service miles."""
-    tier = F.col("tier")
-    service = F.col("role_miles")
-    step = F.col("city_type")
-    e2e, first, middle, last = (F.col(f"price_{leg}") for leg in ("e2e", "fm", "mm", "lm"))
-    heavy = F.col("actual_weight_value")
-    middle_share = (e2e - first - last).cast("decimal(18,4)")
+class Tariff(NamedTuple):
+    """One marketplace tariff: a price per weight multiplier and, for some, per kilogram."""
 
-    scheme = _source(V.SOURCE_MARKETPLACE) & since("shipping_time", scheme_start, tz)
-    inside = scheme & (F.col("origin_status") == V.ORIGIN_INSIDE)
-    near, far = step.isin("M1", "M2"), step == "M3"
-    whole = service == V.FULL_SERVICE
-    tail = service == V.MID_AND_LAST_MILE
+    name: str
+    applies: Column
+    per_tier: Column
+    per_kilo: Column | None = None
+
+
+def marketplace_tariffs() -> list[Tariff]:
+    """Tariffs of the marketplace partner by origin, city tier and service miles."""
+    e2e, first, middle, last = (F.col(f"price_{leg}") for leg in ("e2e", "fm", "mm", "lm"))
+    step, service = F.col("city_type"), F.col("role_miles")
+    inside = F.col("origin_status") == V.ORIGIN_INSIDE
+    near, far = inside & step.isin("M1", "M2"), inside & (step == "M3")
+    whole, tail = service == V.FULL_SERVICE, service == V.MID_AND_LAST_MILE
     return [
-        Rule("outside", scheme & (F.col("origin_status") == V.ORIGIN_OUTSIDE), fee(tier * F.col("price_e2e_tts"))),
-        Rule("near full", inside & near & whole, fee(tier * e2e)),
-        Rule("far full listed", inside & far & whole & (F.col("is_kr_whitelist") == 1), fee(tier * e2e)),
-        Rule(
-            "far full",
-            inside & far & whole,
-            fee(fee(tier * first) + fee(heavy * middle_share) + fee(tier * last)),
-        ),
-        Rule("first mile", inside & (near | far) & (service == V.FIRST_MILE_ONLY), fee(tier * first)),
-        Rule("near tail", inside & near & tail, fee(fee(tier * middle) + fee(tier * last))),
-        Rule("far tail", inside & far & tail, fee(fee(heavy * middle) + fee(tier * last))),
+        Tariff("outside", F.col("origin_status") == V.ORIGIN_OUTSIDE, F.col("price_e2e_tts")),
+        Tariff("near full", near & whole, e2e),
+        Tariff("far full listed", far & whole & (F.col("is_kr_whitelist") == 1), e2e),
+        Tariff("far full", far & whole, first + last, e2e - first - last),
+        Tariff("first mile", (near | far) & (service == V.FIRST_MILE_ONLY), first),
+        Tariff("near tail", near & tail, middle + last),
+        Tariff("far tail", far & tail, last, middle),
     ]
 
 
-def net_fee_rules(faithful: bool = True) -> list[Rule]:
+class NetRule(NamedTuple):
+    """One net-fee arm: the fee is ``base - part * share``, or ``base`` as it is."""
+
+    name: str
+    applies: Column
+    base: Column
+    part: Column | None = None
+    share: Column | None = None
+
+
+def net_fee_rules(faithful: bool = True) -> list[NetRule]:
     """Net fee arms in order of precedence.
 
     The standard discount is switched off in the finance rules as they stand (the rate is
     read as zero); ``faithful=False`` applies it.
     """
     total, standard, received = F.col("total_fee"), F.col("standard_fee"), F.col("receivable_fee")
+    gross, share = F.col("card_gross"), F.col("tariff_share")
     special = F.col("key_account_name") == V.SPECIAL_ACCOUNT
-    express_net = _less(F.col("card_gross"), F.col("tariff_share"))
-    standard_rate = F.lit(0) if faithful else F.coalesce(F.col("standard_rate"), F.lit(0))
-
-    def off_standard(share: Column) -> Column:
-        return fee(total - fee(standard * share))
-
+    contract = NetRule("standard rate", F.col("standard_client").isNotNull(), total)
+    if not faithful:
+        percent = F.coalesce(F.col("standard_rate"), F.lit(0).cast(RATE))
+        contract = contract._replace(part=standard, share=(percent / F.lit(100)).cast(RATE))
+    has_api_rate = F.col("api_source").isNotNull() & F.col("express_type_name").isin(*V.API_RATE_COLUMN)
     return [
-        Rule("platform card", _source(V.SOURCE_PLATFORM), off_standard(F.col("tariff_share"))),
-        Rule("crossborder card", _source(V.SOURCE_CROSSBORDER), express_net),
-        Rule("express card", _source(V.SOURCE_EXPRESS), fee(express_net + fee(express_net * F.lit(V.EXPRESS_TAX)))),
-        Rule("marketplace", F.col("marketplace_arm").isNotNull(), F.col("marketplace_fee")),
-        Rule("special account rate", special & F.col("special_listed"), _less(received, F.col("special_share"))),
-        Rule("special account", special, fee(total)),
-        Rule("area rate", _source(*V.SOURCES_AREA_RATE), off_standard(F.col("tariff_share"))),
-        Rule("destination rate", _source(*V.SOURCES_DESTINATION_RATE), _less(total, F.col("tariff_share"))),
-        Rule("net-off report", F.col("netoff_waybill").isNotNull(), fee(F.col("netoff_fee"))),
-        Rule("wallet", F.col("wallet_waybill").isNotNull(), fee(F.col("wallet_net"))),
-        Rule(
-            "standard rate",
-            F.col("standard_client").isNotNull(),
-            off_standard((standard_rate / F.lit(100)).cast("decimal(18,9)")),
-        ),
-        Rule(
-            "api",
-            F.col("api_source").isNotNull() & F.col("express_type_name").isin(*V.API_RATE_COLUMN),
-            off_standard(F.col("api_share")),
-        ),
+        NetRule("platform card", _source(V.SOURCE_PLATFORM), total, standard, share),
+        NetRule("crossborder card", _source(V.SOURCE_CROSSBORDER), gross, gross, share),
+        NetRule("express card", _source(V.SOURCE_EXPRESS), gross, gross, share),
+        NetRule("marketplace", F.col("marketplace_arm").isNotNull(), F.col("marketplace_fee")),
+        NetRule("special account rate", special & F.col("special_listed"), received, received, F.col("special_share")),
+        NetRule("special account", special, total),
+        NetRule("area rate", _source(*V.SOURCES_AREA_RATE), total, standard, share),
+        NetRule("destination rate", _source(*V.SOURCES_DESTINATION_RATE), total, total, share),
+        NetRule("net-off report", F.col("netoff_waybill").isNotNull(), F.col("netoff_fee")),
+        NetRule("wallet", F.col("wallet_waybill").isNotNull(), F.col("wallet_net")),
+        contract,
+        NetRule("api", has_api_rate, total, standard, F.col("api_share")),
     ]
 
 
+def net_arm(faithful: bool = True) -> Column:
+    """Name of the arm that settles the net fee; NULL where the total fee stands."""
+    return first_match([Rule(r.name, r.applies, F.lit(r.name)) for r in net_fee_rules(faithful)])
+
+
 def net_fee(faithful: bool = True) -> Column:
-    return first_match(net_fee_rules(faithful), fee(F.col("total_fee")))
+    """Net fee by the arm in ``net_arm``; the express card adds its tax."""
+    rules = net_fee_rules(faithful)
+    arm, none = F.col("net_arm"), F.lit(0)
+
+    def chosen(field: str, scale: str, otherwise: Column) -> Column:
+        groups: dict[str, tuple[Column, list[str]]] = {}
+        for rule in rules:
+            value = getattr(rule, field)
+            if value is not None:
+                groups.setdefault(str(value), (value, []))[1].append(rule.name)
+        arms = [Rule(field, arm.isin(*names), value.cast(scale)) for value, names in groups.values()]
+        return first_match(arms, otherwise.cast(scale))
+
+    base = chosen("base", FEE, F.col("total_fee"))
+    reduced = fee(base - fee(chosen("part", FEE, none) * chosen("share", RATE, none)))
+    return F.when(arm == "express card", fee(reduced + fee(reduced * F.lit(V.EXPRESS_TAX)))).otherwise(reduced)
 
 
 def cod_fee_rules() -> list[Rule]:
@@ -396,7 +413,7 @@ PART = "\u001f"
 def _tariff_key() -> dict[str, Column]:
     """Key of a waybill into the tariff cards: which card, and the parts it is priced by."""
     platform, crossborder = _source(V.SOURCE_PLATFORM), _source(V.SOURCE_CROSSBORDER)
-    express, area = _source(V.SOURCE_EXPRESS), _source(*V.SOURCES_AREA_RATE)
+    express = _source(V.SOURCE_EXPRESS)
     joined = platform | crossborder
     card = first_match(
         [
@@ -404,7 +421,6 @@ def _tariff_key() -> dict[str, Column]:
             Rule("crossborder", crossborder, F.lit("crossborder")),
             Rule("express", express, F.lit("express")),
             Rule("marketplace", _source(V.SOURCE_MARKETPLACE), F.lit("marketplace")),
-            Rule("area", area, F.lit("area")),
             Rule(
                 "destination",
                 _source(*V.SOURCES_DESTINATION_RATE),
@@ -415,15 +431,16 @@ def _tariff_key() -> dict[str, Column]:
     city, district = F.col("recipient_city_name"), F.col("recipient_district_name")
     return {
         "card": card,
-        "origin": F.when(area, ANY).otherwise(F.col("sender_city_name")),
+        "origin": F.col("sender_city_name"),
         "destination": F.when(joined, F.concat(city, district)).otherwise(F.concat(city, F.lit(PART), district)),
-        "express": F.when(express | area, F.col("express_type_name")).otherwise(ANY),
+        "express": F.when(express, F.col("express_type_name")).otherwise(ANY),
     }
 
 
 def tariff_cards(tables: Tables) -> DataFrame:
-    """All tariff cards in one table: a waybill is priced by one card, so one lookup serves.
+    """The tariff cards in one table: a waybill is priced by one card, so one lookup serves.
 
+    A union keeps the known size of its parts, so Spark still sees a small table.
     ``light_share`` is the discount of parcels below half a kilogram, which only the
     platform card tells apart.
     """
@@ -444,10 +461,6 @@ def tariff_cards(tables: Tables) -> DataFrame:
 
     platform = tables["dim_platform_discounts"]
     standard = rate("STD")
-    coverage = lookup(
-        tables["dim_area_coverage"], tables["dim_area_discounts"], {"area": "master_agent"},
-        {"area_express": "express_type", "area_discount": "discount"},
-    )
     parts = [
         card(
             platform, F.lit("platform"), F.col("Origin"), F.col("Lookup"), F.lit(ANY), nothing, standard,
@@ -461,10 +474,6 @@ def tariff_cards(tables: Tables) -> DataFrame:
             tables["dim_express_discounts"], F.lit("express"), F.col("origin"), place("kota_kabupaten", "kecamatan"),
             F.col("express_type"), amount("pricing"), rate("discount"),
         ),
-        card(
-            coverage, F.lit("area"), F.lit(ANY), place("dest_city", "dest_district"), F.col("area_express"), nothing,
-            rate("area_discount"),
-        ),
         card(
             tables["dim_destination_discounts"], F.concat(F.lit("destination "), "waybill_source"), F.col("origin_city"),
             place("dest_city", "dest_district"), F.lit(ANY), nothing,
@@ -498,14 +507,27 @@ def _with_tariff(df: DataFrame, tables: Tables) -> DataFrame:
         df, tariff_cards(tables), key,
         {"card_price": "price", "card_share": "share", "card_light_share": "light_share"},
     )
+    by_area = _source(*V.SOURCES_AREA_RATE)
+    df = lookup(
+        df, tables["dim_area_coverage"],
+        {"dest_city": "recipient_city_name", "dest_district": "recipient_district_name"},
+        {"master_agent": "master_agent"},
+        gate=by_area,
+    )
+    df = lookup(
+        df, tables["dim_area_discounts"], {"area": "master_agent", "express_type": "express_type_name"},
+        {"area_share": rate("discount")},
+        gate=by_area,
+    )
     light = F.col("actual_weight_value") < F.lit(V.LITE_WEIGHT_BELOW)
+    card_share = F.when(light, F.col("card_light_share")).otherwise(F.col("card_share"))
     return _fold(
         df,
         {
             "card_gross": fee(F.col("card_price") * F.col("tier")),
-            "tariff_share": F.when(light, F.col("card_light_share")).otherwise(F.col("card_share")),
+            "tariff_share": F.when(by_area, F.col("area_share")).otherwise(card_share),
         },
-        ["card_price", "card_share", "card_light_share"],
+        ["card_price", "card_share", "card_light_share", "master_agent", "area_share"],
     )
 
 
@@ -517,11 +539,20 @@ def _with_marketplace(df: DataFrame, tables: Tables, scheme_start: date, tz: str
         {"origin_status": "status", "city_type": "type_m", **{f"price_{leg}": amount(leg) for leg in legs}},
         gate=F.col("order_source") == V.SOURCE_MARKETPLACE,
     )
-    rules = marketplace_rules(scheme_start, tz)
-    named = [Rule(r.name, r.applies, F.lit(r.name)) for r in rules]
+    tariffs = marketplace_tariffs()
+    scheme = _source(V.SOURCE_MARKETPLACE) & since("shipping_time", scheme_start, tz)
+    df = df.withColumn(
+        "marketplace_arm",
+        F.when(scheme, first_match([Rule(t.name, t.applies, F.lit(t.name)) for t in tariffs])),
+    )
+    arm = F.col("marketplace_arm")
+    nothing = F.lit(0).cast(AMOUNT)
+    per_tier = first_match([Rule(t.name, arm == t.name, t.per_tier.cast(AMOUNT)) for t in tariffs])
+    per_kilo = first_match([Rule(t.name, arm == t.name, t.per_kilo.cast(AMOUNT)) for t in tariffs if t.per_kilo is not None], nothing)
+    by_weight = F.when(per_kilo == 0, nothing).otherwise(F.col("actual_weight_value")) * per_kilo
     return _fold(
         df,
-        {"marketplace_arm": first_match(named), "marketplace_fee": first_match(rules)},
+        {"marketplace_fee": fee(F.col("tier") * per_tier + by_weight)},
         [
             "order_origin", "order_destination", "order_source", "origin_status", "city_type", "tier",
             "role_miles", "is_kr_whitelist", *[f"price_{leg}" for leg in legs],
@@ -584,7 +615,7 @@ def daily_billing(
     taken from the waybill fee table.
     """
     priced = priced_waybills(tables, as_of, tz, days, scheme_start)
-    charged = priced.select(
+    charged = priced.withColumn("net_arm", net_arm(faithful)).select(
         "waybill_no",
         pod_date(tz).alias("pod_date"),
         "waybill_source_name",

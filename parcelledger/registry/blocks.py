@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelledger.functions import (
@@ -40,7 +40,8 @@ from parcelledger.operators import (
 )
 from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query
 
-PRICE = amount("l_extendedprice")
+def _price() -> Column:
+    return amount("l_extendedprice")
 
 ORDER_CODES = """(VALUES ('status', 'O', 'Open'), ('status', 'F', 'Done'), ('priority', '1-URGENT', 'Urgent'),
     ('priority', '2-HIGH', 'High'), ('priority', '5-LOW', 'Low'), ('segment', 'BUILDING', 'Construction'),
@@ -341,16 +342,16 @@ def agg_conditional_pivot(s: Sample) -> DataFrame:
     COALESCE(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,4)) END, 0)) AS DOUBLE) AS gross
     FROM lineitem GROUP BY l_suppkey""")
 def agg_null_safe_sum(s: Sample) -> DataFrame:
-    cod = F.when(F.col("l_tax") > 0.04, PRICE)
+    cod = F.when(F.col("l_tax") > 0.04, _price())
     returned = F.when(F.col("l_returnflag") == "R", amount("l_quantity"))
-    total = PRICE + F.coalesce(cod, F.lit(0)) + F.coalesce(returned, F.lit(0))
+    total = _price() + F.coalesce(cod, F.lit(0)) + F.coalesce(returned, F.lit(0))
     return s.lineitem.groupBy("l_suppkey").agg(F.sum(total).alias("gross"))
 
 
 @query("""SELECT l_returnflag, l_linestatus,
     CAST(ROUND(SUM(CAST(l_extendedprice AS DECIMAL(18,4))), 0) AS DOUBLE) AS revenue FROM lineitem GROUP BY 1, 2""")
 def agg_round_sum(s: Sample) -> DataFrame:
-    return s.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum(PRICE), 0).alias("revenue"))
+    return s.lineitem.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum(_price()), 0).alias("revenue"))
 
 
 @query("""SELECT l_orderkey, CAST(MAX(cod) AS DOUBLE) AS cod, CAST(MAX(cash) AS DOUBLE) AS cash,
@@ -362,7 +363,7 @@ def agg_max_plus_max(s: Sample) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     zero = F.lit(0).cast("decimal(18,4)")
     legs = s.lineitem.select(
-        "l_orderkey", F.when(returned, PRICE).otherwise(zero).alias("c"), F.when(returned, zero).otherwise(PRICE).alias("h")
+        "l_orderkey", F.when(returned, _price()).otherwise(zero).alias("c"), F.when(returned, zero).otherwise(_price()).alias("h")
     )
     return legs.groupBy("l_orderkey").agg(
         F.max("c").alias("cod"), F.max("h").alias("cash"), (F.max("c") + F.max("h")).alias("total")
@@ -590,7 +591,7 @@ def fn_regex_codes(s: Sample) -> DataFrame:
     FROM (SELECT *, CASE WHEN l_tax > 0.04 THEN CAST(l_extendedprice AS DECIMAL(18,4)) WHEN l_tax > 0.02 THEN 0 END AS cod,
     CASE l_returnflag WHEN 'R' THEN '' WHEN 'A' THEN 'kept' END AS note FROM lineitem)""")
 def fn_case_if(s: Sample) -> DataFrame:
-    cod = F.when(F.col("l_tax") > 0.04, PRICE).when(F.col("l_tax") > 0.02, F.lit(0).cast("decimal(18,4)"))
+    cod = F.when(F.col("l_tax") > 0.04, _price()).when(F.col("l_tax") > 0.02, F.lit(0).cast("decimal(18,4)"))
     note = F.when(F.col("l_returnflag") == "R", "").when(F.col("l_returnflag") == "A", "kept")
     kind = first_match(
         [
@@ -622,7 +623,7 @@ def fn_math(s: Sample) -> DataFrame:
         F.ceil(F.col("l_quantity") - 0.31).alias("up"),
         F.try_divide(F.col("l_quantity"), F.col("l_linenumber") - 3).alias("share"),
         text.try_cast("double").alias("parsed"),
-        fee(PRICE * rate(F.lit(0.11))).alias("tax"),
+        fee(_price() * rate(F.lit(0.11))).alias("tax"),
     )
 
 
@@ -638,11 +639,11 @@ def fn_math(s: Sample) -> DataFrame:
         SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS w FROM lineitem GROUP BY 1, 2) GROUP BY 1) b ON b.l_suppkey = a.l_suppkey""")
 def reconcile_report(s: Sample) -> DataFrame:
     report = s.lineitem.groupBy("l_suppkey", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(PRICE).alias("w")
+        F.count(F.lit(1)).alias("c"), F.sum(_price()).alias("w")
     )
     return reconcile(
         s.lineitem, report, ["l_suppkey"],
-        {"rows": (F.count(F.lit(1)), F.sum("c")), "fee": (F.sum(PRICE), F.sum("w"))},
+        {"rows": (F.count(F.lit(1)), F.sum("c")), "fee": (F.sum(_price()), F.sum("w"))},
     )
 
 

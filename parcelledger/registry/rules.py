@@ -45,7 +45,10 @@ def rule_gross_fee(s: Sample) -> DataFrame:
 
 @query(_arms_sql(B.GROUPED_NET_ARMS, B.fee("total_shipping_fee")))
 def rule_net_fee(s: Sample) -> DataFrame:
-    return _arms(_priced(s), billing.net_fee_rules(), fee(F.col("total_fee")))
+    decided = _priced(s).withColumn("net_arm", billing.net_arm())
+    return decided.select(F.coalesce("net_arm", F.lit("otherwise")).alias("arm"), billing.net_fee().alias("fee")).groupBy(
+        "arm"
+    ).agg(F.count(F.lit(1)).alias("waybills"), F.count("fee").alias("settled"), F.sum("fee").alias("fee"))
 
 
 @query(_arms_sql(B.MARKETPLACE_ARMS, "NULL"))

@@ -17,8 +17,8 @@ SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Dimensions are never hinted: Spark broadcasts a side only below this size,
     # known from file statistics or measured by adaptive execution.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     # Prune the large side of selective fact joins before it is shuffled.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
