@@ -498,16 +498,23 @@ def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def view(spark: SparkSession, folder: str, name: str, files: Tables | None = None) -> DataFrame:
     """One derived input."""
     text = VIEWS[name]
+    files = files or sample_files(spark, folder)
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{table: raw(spark, folder, table) for table in used})
+    return spark.sql(text, **{table: files[table] for table in used})
+
+
+def sample_files(spark: SparkSession, folder: str) -> Tables:
+    """The sample tables themselves."""
+    return Tables({n: (lambda n=n: raw(spark, folder, n)) for n in RAW})
 
 
 def sample_tables(spark: SparkSession, folder: str, group: Mapping[str, str]) -> Tables:
-    """The inputs of a group of reports."""
-    return Tables({n: (lambda v=v: view(spark, folder, v)) for n, v in group.items()})
+    """The inputs of a group of reports; each file is opened once for all of them."""
+    files = sample_files(spark, folder)
+    return Tables({n: (lambda v=v: view(spark, folder, v, files)) for n, v in group.items()})
 
 
 def view_sql(name: str) -> str:
