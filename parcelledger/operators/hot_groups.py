@@ -46,19 +46,22 @@ def _ranked_by_slices(
     """Exact rank and totals with no group held by a single task.
 
     A range shuffle on (group, order) cuts big groups into slices; the checkpoint fixes
-    the slice of each row. Equal (group, order) pairs are counted map-side, then summed
-    within a slice, and slices are chained by their totals.
+    the slice of each row. A hash of the row lets it also cut a pair that fills slices on
+    its own. Equal pairs are counted map-side and belong to the first slice they are in;
+    ranks run within a slice, and slices are chained by their totals.
     """
     spark = df.sparkSession
     use_checkpoint_dir(spark)
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = (
-        df.repartitionByRange(slices, F.col(group), F.col(order))
+        df.repartitionByRange(slices, F.col(group), F.col(order), F.xxhash64(*df.columns))
         .withColumn("__slice", F.spark_partition_id())
         .checkpoint()
     )
-    pairs = sliced.groupBy(group, "__slice", order).agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.sum(v).alias(n) for n, v in totals.items()]
+    pairs = sliced.groupBy(group, order).agg(
+        F.min("__slice").alias("__slice"),
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.sum(v).alias(n) for n, v in totals.items()],
     )
     within = Window.partitionBy(group, "__slice").orderBy(F.col(order).asc_nulls_first())
     before = within.rowsBetween(Window.unboundedPreceding, -1)
@@ -82,14 +85,7 @@ def _ranked_by_slices(
             F.col(group).eqNullSafe(F.col("__g")) & (F.col("__slice") == F.col("__s")),
         )
         .withColumn(rank, F.col("__prior") + F.col("__offset") + F.lit(1))
-        .select(
-            F.col(group).alias("__g"), F.col("__slice").alias("__s"), F.col(order).alias("__o"),
-            rank, *totals,
-        )
-    )
-    same = (
-        F.col(group).eqNullSafe(F.col("__g"))
-        & (F.col("__slice") == F.col("__s"))
-        & F.col(order).eqNullSafe(F.col("__o"))
+        .select(F.col(group).alias("__g"), F.col(order).alias("__o"), rank, *totals)
     )
-    return sliced.join(ranks, same).drop("__g", "__s", "__o", "__slice")
+    same = F.col(group).eqNullSafe(F.col("__g")) & F.col(order).eqNullSafe(F.col("__o"))
+    return sliced.join(ranks, same).drop("__g", "__o", "__slice")

@@ -178,13 +178,13 @@ def marketplace_tariffs() -> list[Tariff]:
 
 
 class NetRule(NamedTuple):
-    """One net-fee arm: the fee is ``base - part * share``, or ``base`` as it is."""
+    """One net-fee arm by column names: ``base - part * share``, or ``base`` as it is."""
 
     name: str
     applies: Column
-    base: Column
-    part: Column | None = None
-    share: Column | None = None
+    base: str
+    part: str | None = None
+    share: str | None = None
 
 
 def net_fee_rules(faithful: bool = True) -> list[NetRule]:
@@ -193,27 +193,26 @@ def net_fee_rules(faithful: bool = True) -> list[NetRule]:
     The standard discount is switched off in the finance rules as they stand (the rate is
     read as zero); ``faithful=False`` applies it.
     """
-    total, standard, received = F.col("total_fee"), F.col("standard_fee"), F.col("receivable_fee")
-    gross, share = F.col("card_gross"), F.col("tariff_share")
+    total, standard, received = "total_fee", "standard_fee", "receivable_fee"
+    gross, share = "card_gross", "tariff_share"
     special = F.col("key_account_name") == V.SPECIAL_ACCOUNT
     contract = NetRule("standard rate", F.col("standard_client").isNotNull(), total)
     if not faithful:
-        percent = F.coalesce(F.col("standard_rate"), F.lit(0).cast(RATE))
-        contract = contract._replace(part=standard, share=(percent / F.lit(100)).cast(RATE))
+        contract = contract._replace(part=standard, share="standard_share")
     has_api_rate = F.col("api_source").isNotNull() & F.col("express_type_name").isin(*V.API_RATE_COLUMN)
     return [
         NetRule("platform card", _source(V.SOURCE_PLATFORM), total, standard, share),
         NetRule("crossborder card", _source(V.SOURCE_CROSSBORDER), gross, gross, share),
         NetRule("express card", _source(V.SOURCE_EXPRESS), gross, gross, share),
-        NetRule("marketplace", F.col("marketplace_arm").isNotNull(), F.col("marketplace_fee")),
-        NetRule("special account rate", special & F.col("special_listed"), received, received, F.col("special_share")),
+        NetRule("marketplace", F.col("marketplace_arm").isNotNull(), "marketplace_fee"),
+        NetRule("special account rate", special & F.col("special_listed"), received, received, "special_share"),
         NetRule("special account", special, total),
         NetRule("area rate", _source(*V.SOURCES_AREA_RATE), total, standard, share),
         NetRule("destination rate", _source(*V.SOURCES_DESTINATION_RATE), total, total, share),
-        NetRule("net-off report", F.col("netoff_waybill").isNotNull(), F.col("netoff_fee")),
-        NetRule("wallet", F.col("wallet_waybill").isNotNull(), F.col("wallet_net")),
+        NetRule("net-off report", F.col("netoff_waybill").isNotNull(), "netoff_fee"),
+        NetRule("wallet", F.col("wallet_waybill").isNotNull(), "wallet_net"),
         contract,
-        NetRule("api", has_api_rate, total, standard, F.col("api_share")),
+        NetRule("api", has_api_rate, total, standard, "api_share"),
     ]
 
 
@@ -228,12 +227,12 @@ def net_fee(faithful: bool = True) -> Column:
     arm, none = F.col("net_arm"), F.lit(0)
 
     def chosen(field: str, scale: str, otherwise: Column) -> Column:
-        groups: dict[str, tuple[Column, list[str]]] = {}
+        """The column that the deciding arm names for ``field``."""
+        users: dict[str, list[str]] = {}
         for rule in rules:
-            value = getattr(rule, field)
-            if value is not None:
-                groups.setdefault(str(value), (value, []))[1].append(rule.name)
-        arms = [Rule(field, arm.isin(*names), value.cast(scale)) for value, names in groups.values()]
+            if column := getattr(rule, field):
+                users.setdefault(column, []).append(rule.name)
+        arms = [Rule(column, arm.isin(*names), F.col(column).cast(scale)) for column, names in users.items()]
         return first_match(arms, otherwise.cast(scale))
 
     base = chosen("base", FEE, F.col("total_fee"))
@@ -583,7 +582,10 @@ def _with_account_rates(df: DataFrame, tables: Tables, as_of: date, tz: str) ->
             "recipient_location_id": "recipient_district_id",
             "express_type": "express_type",
         },
-        {"standard_client": "shipping_client_id", "standard_rate": rate("discount_rate")},
+        {
+            "standard_client": "shipping_client_id",
+            "standard_share": (F.coalesce(rate("discount_rate"), F.lit(0).cast(RATE)) / F.lit(100)).cast(RATE),
+        },
     )
 
 

@@ -122,6 +122,14 @@ def test_hot_group_is_cut_into_slices(spark):
     df = spark.range(20000).select(F.lit("hot").alias("g"), F.format_string("w%06d", "id").alias("o"))
     sliced = ranked_with_totals(df, "g", "o", {}, "place", hot_rows=10)
     assert sliced.select(F.max("place"), F.count_distinct("place")).first()[:] == (20000, 20000)
+    # One pair that fills several slices keeps a shared rank.
+    ties = spark.range(9000).select(
+        F.lit("hot").alias("g"), F.when(F.col("id") < 8000, "b").when(F.col("id") < 8500, "a").otherwise("c").alias("o"), "id"
+    )
+    ranked = ranked_with_totals(ties, "g", "o", {"n": F.lit(1)}, "place", hot_rows=10)
+    assert rows(ranked.groupBy("o", "place", "n").count()) == [
+        ("a", 1, 9000, 500), ("b", 501, 9000, 8000), ("c", 8501, 9000, 500),
+    ]
     # No slice of the stored rows holds the whole group.
     held = df.repartitionByRange(4, "g", "o").groupBy(F.spark_partition_id()).count()
     assert held.count() == 4 and held.agg(F.max("count")).first()[0] < 10000
