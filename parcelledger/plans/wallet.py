@@ -69,15 +69,14 @@ def fee_origin() -> Column:
 def _measure(name: str) -> Column:
     order, waybill, returned = (F.col(f"{side}_{name}") for side in ("oo", "ww", "rr"))
     origin = F.col("fee_origin")
-    value = first_match(
+    return first_match(
         [
-            Rule("change", origin == "change", waybill - order),
+            Rule("change", origin == "change", amount(waybill - order)),
             Rule("waybill", origin == "waybill", waybill),
             Rule("return", origin == "return", returned),
         ],
         order,
     )
-    return value.cast("decimal(18,4)")
 
 
 def _share(part: Column, whole: Column) -> Column:

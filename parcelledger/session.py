@@ -24,10 +24,22 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session and return it."""
+PARTITION_BYTES = 128 << 20
+
+
+def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the settings to a running session and return it.
+
+    ``input_bytes`` is what the largest shuffle reads: it sets the number of shuffle
+    partitions for about 128 MB each. Adaptive execution merges those that stay small,
+    but it never adds any.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        needed = -(-input_bytes // PARTITION_BYTES)
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(needed, current)))
     return spark
 
 
@@ -42,4 +54,6 @@ def local_session(cores: int | str = 8, memory: str = "12g") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # Small samples are CPU-bound: do not merge their partitions down to one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return tune(spark)

@@ -185,19 +185,17 @@ VIEWS: dict[str, str] = {
         ('BATU', 'MALANG', 'SELATAN', 'partner_d_legal_entity_1', 13000, 10500),
         ('KEDIRI', 'BLITAR', 'UTARA', 'partner_d_legal_entity_1', 21000, 14000))
         AS t(origin_city, dest_city, dest_district, waybill_source, gross, nett)""",
-    "standard_rates": """SELECT sender_location_id, recipient_location_id, express_type, shipping_client_id,
-        discount_rate, search_code, CAST(ends AS TIMESTAMP) AS end_expire_time,
-        CAST(made AS TIMESTAMP) AS created_at, deleted FROM (VALUES
-        (1, 1, '02', 1, 10.0, 'A', '2030-01-01 00:00:00', '2000-01-01 00:00:00', '0'),
-        (1, 1, '02', 1, 12.5, 'A', '2030-01-01 00:00:00', '2001-01-01 00:00:00', '0'),
-        (2, 1, '02', 5, 8.0, 'B', '2030-01-01 00:00:00', '2000-05-01 00:00:00', '0'),
-        (0, 1, '06', 15, 9.0, 'C', '2001-08-02 16:59:59', '2000-01-01 00:00:00', '0'),
-        (0, 0, '01', 27, 15.0, 'D', '2001-08-02 17:00:00', '2000-01-01 00:00:00', '0'),
-        (0, 0, '03', 33, NULL, 'E', '2030-01-01 00:00:00', '2000-01-01 00:00:00', '0'),
-        (1, 0, '01', 7, 7.0, 'F', '2030-01-01 00:00:00', '2000-01-01 00:00:00', '1'),
-        (1, 0, '03', 13, 6.0, 'G', '2030-01-01 00:00:00', '2000-01-01 00:00:00', '0'))
-        AS t(sender_location_id, recipient_location_id, express_type, shipping_client_id, discount_rate,
-             search_code, ends, made, deleted)""",
+    # Standard contracts: one search code per client, route and express type, several versions each.
+    "standard_rates": """SELECT CAST(FLOOR(k / 40) AS INT) % 3 AS sender_location_id,
+        CAST(FLOOR(k / 120) AS INT) % 2 AS recipient_location_id,
+        CASE CAST(FLOOR(k / 240) AS INT) WHEN 0 THEN '01' WHEN 1 THEN '02' WHEN 2 THEN '03' ELSE '06' END AS express_type,
+        (k % 40) * 3 AS shipping_client_id,
+        CASE WHEN p_size % 11 <> 0 THEN CAST(p_size * 0.5 AS DECIMAL(9,4)) END AS discount_rate, 'S' || k AS search_code,
+        CAST(CASE p_size % 7 WHEN 0 THEN '2001-08-02 16:59:59' WHEN 1 THEN '2001-08-02 17:00:00'
+             ELSE '2030-01-01 00:00:00' END AS TIMESTAMP) AS end_expire_time,
+        CAST('2000-01-01 00:00:00' AS TIMESTAMP) + p_size * INTERVAL '1' DAY AS created_at,
+        CASE WHEN p_size % 13 = 5 THEN '1' ELSE '0' END AS deleted
+        FROM (SELECT p_partkey % 960 AS k, p_size FROM {part})""",
     "api_rates": """SELECT * FROM (VALUES
         ('829', 'C', '829', 'Company A', 0.10, 0.12, 0.08, 0.05, 0.015, 0.5),
         ('00', 'C', '00', 'Company B', 0.11, 0.13, NULL, 0.06, 0.012, 0.4),
