@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from parcelledger.sources.scratch import use_checkpoint_dir
 
 
-def has_group_above(df: DataFrame, group: str, limit: int) -> bool:
-    """True when some group has more than ``limit`` rows (one pre-aggregated count job)."""
-    sizes = df.groupBy(group).count()
+def has_group_above(sizes: DataFrame, limit: int) -> bool:
+    """True when some group has a ``count`` above ``limit``; one job, one flag returned."""
     return not sizes.filter(F.col("count") > limit).isEmpty()
 
 
@@ -23,16 +22,15 @@ def ranked_with_totals(
     totals: Mapping[str, Column],
     rank: str,
     hot_rows: int = 5_000_000,
-    sizes_from: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``RANK()`` by ``order`` within ``group`` and whole-group sums.
 
     Groups of up to ``hot_rows`` rows share one shuffle for all windows. When a larger
-    group exists, every group is cut into ordered slices instead. ``sizes_from`` may name
-    a cheaper table with the same group column for the size check.
+    group exists, every group is cut into ordered slices instead. ``sizes`` may give the
+    group sizes (or upper bounds) in a column ``count`` where that is cheaper than counting.
     """
-    probe = df if sizes_from is None else sizes_from
-    if has_group_above(probe, group, hot_rows):
+    if has_group_above(df.groupBy(group).count() if sizes is None else sizes, hot_rows):
         return _ranked_by_slices(df, group, order, totals, rank)
     whole = Window.partitionBy(group)
     columns = {name: F.sum(value).over(whole) for name, value in totals.items()}
