@@ -28,8 +28,13 @@ MOST_BITS, LEAST_BITS = 1 << 24, 1 << 16
 BROADCAST_SEEDS = 200_000
 
 
-def _seed(words: Column, at: Column, mask: int) -> Column:
-    picked = [F.get(words, at + i) for i, bit in enumerate(MASKS[mask]) if bit == "1"]
+def _codes(words: Column) -> Column:
+    """Each word's hash: a long word is read once, however many seeds look at it."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _seed(codes: Column, at: Column, mask: int) -> Column:
+    picked = [F.get(codes, at + i) for i, bit in enumerate(MASKS[mask]) if bit == "1"]
     return F.xxhash64(F.lit(mask), *picked)
 
 
@@ -40,10 +45,11 @@ def _around(words: Column, at: Column) -> Column:
 
 def _item_seeds(items: DataFrame) -> DataFrame:
     words = items.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= SHORTEST)
+    words = words.withColumn("codes", _codes(F.col("words")))
     seeds = [
         words.select(
-            "item_id", "words", F.lit(m).alias("mask"), F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[m]))).alias("pos")
-        ).withColumn("hash", _seed(F.col("words"), F.col("pos"), m))
+            "item_id", "words", "codes", F.lit(m).alias("mask"), F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[m]))).alias("pos")
+        ).withColumn("hash", _seed(F.col("codes"), F.col("pos"), m))
         for m in range(len(MASKS))
     ]
     every = seeds[0].union(seeds[1]).union(seeds[2])
@@ -104,18 +110,17 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     cells, bits = _filter_bits(seeds, n_seeds)
 
     words = text_rows(docs).select("doc_id", words_of(F.col("text")).alias("words"))
-    spots = words.filter(F.size("words") >= SHORTEST).select(
-        "doc_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[0]))).alias("at")
+    coded = words.filter(F.size("words") >= SHORTEST).select("doc_id", "words", _codes(F.col("words")).alias("codes"))
+    spots = coded.select(
+        "doc_id", "words", "codes", F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[0]))).alias("at")
     )
-    hashes = [_seed(F.col("words"), F.col("at"), m) for m in range(len(MASKS))]
-    passed = [_may_match(h, cells, bits) for h in hashes]
-    found = spots.filter(passed[0] | passed[1] | passed[2]).select(
-        "doc_id",
-        "at",
-        _around(F.col("words"), F.col("at")).alias("doc_part"),
-        F.array(*[F.struct(F.lit(m).alias("mask"), h.alias("hash")) for m, h in enumerate(hashes)]).alias("seeds"),
+    # The second generator gives each seed a row of its own: its hash is computed once, then tested.
+    hashes = F.array(*[_seed(F.col("codes"), F.col("at"), m) for m in range(len(MASKS))])
+    found = (
+        spots.select("doc_id", "words", "at", F.posexplode(hashes).alias("mask", "hash"))
+        .filter(_may_match(F.col("hash"), cells, bits))
+        .select("doc_id", "at", _around(F.col("words"), F.col("at")).alias("doc_part"), "mask", "hash")
     )
-    found = found.withColumn("seed", F.explode("seeds")).select("doc_id", "at", "doc_part", "seed.mask", "seed.hash")
     small = F.broadcast(seeds) if n_seeds <= BROADCAST_SEEDS else seeds
     hits = found.join(small, ["mask", "hash"])
 
