@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelledger.llm.common import components, forced_skew_join, stored, table, text_rows
-from parcelledger.llm.runs import by_key, labels_of, runs, shares_smaller
+from parcelledger.llm.runs import by_key, labels_of, runs, shares_smaller, tiled, within_tiles
 
 WORDS, SIMILAR, RECALL = 5, 0.8, 0.999
 HASHES, BRANCHES, DEPTH = 64, 2, 3
-BUCKET, TILE = 256, 384
+BUCKET = 256
 # Four standard deviations of the estimate from HASHES minimum hashes below SIMILAR.
 LIKELY = SIMILAR - 4 * math.sqrt(SIMILAR * (1 - SIMILAR) / HASHES)
 MEMO = 500_000
@@ -123,26 +123,9 @@ def leaves(sets: DataFrame, n_runs: int) -> DataFrame:
     return found.select("id", "path", "n")
 
 
-def _tiled(rows: DataFrame) -> DataFrame:
-    """Adds key, tile, left, right: a bucket that is too large becomes one task for each pair of its tiles."""
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    split = rows.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), tiles - 1))
-    )
-    split = split.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
-    return split.drop("other").withColumn("key", F.xxhash64("path", "left", "right"))
-
-
-def _examined(table_: pa.Table) -> np.ndarray:
+def _examined(task: pa.Table) -> np.ndarray:
     """Pairs of a task that are looked at here: between its two tiles, and not in a smaller bucket."""
-    path = table_["path"][0].as_py()
-    tile = table_["tile"].to_numpy()
-    left, right = table_["left"][0].as_py(), table_["right"][0].as_py()
-    here = ~shares_smaller(table_["leaves"].to_pylist(), path)
-    if left != right:
-        here &= tile[:, None] != tile[None, :]
-    np.fill_diagonal(here, False)
-    return here
+    return within_tiles(task) & ~shares_smaller(task["leaves"].to_pylist(), task["path"][0].as_py())
 
 
 def _likely(hashes: np.ndarray) -> np.ndarray:
@@ -239,7 +222,7 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     found = stored(leaves(sets, runs_needed(recall)).distinct(), "join-leaves")
     own = stored(found.groupBy("id").agg(F.collect_set("path").alias("leaves")), "join-paths")
 
-    placed = _tiled(found.join(own, "id").join(sets.select("id", "hashes"), "id"))
+    placed = tiled(found.join(own, "id").join(sets.select("id", "hashes"), "id"))
     names = "id long, key long, path long, tile int, left int, right int"
     short = stored(by_key(placed).mapInArrow(_shortlist, ", ".join(f"`{x.split()[0]}` {x.split()[1]}" for x in names.split(", "))), "join-short")
 

@@ -7,6 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows of a tile; a task holds two.
+TILE = 384
 
 
 def by_key(rows: DataFrame, key: str = "key") -> DataFrame:
@@ -56,3 +60,24 @@ def shares_smaller(lists: list, own: int) -> np.ndarray:
     met = np.zeros((len(lists), max(1, len(seen))), dtype=np.float32)
     met[rows, cols] = 1
     return (met @ met.T) > 0
+
+
+def tiled(rows: DataFrame) -> DataFrame:
+    """Adds key, tile, left, right to rows of (id, path, n): a bucket ``path`` of n rows that is too large becomes one
+    task for each pair of its tiles."""
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    split = rows.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), tiles - 1))
+    )
+    split = split.withColumn("left", F.least("tile", "other")).withColumn("right", F.greatest("tile", "other"))
+    return split.drop("other").withColumn("key", F.xxhash64("path", "left", "right"))
+
+
+def within_tiles(task: pa.Table) -> np.ndarray:
+    """Matrix of the pairs that a task of ``tiled`` rows looks at."""
+    tile = task["tile"].to_numpy()
+    here = np.ones((len(tile), len(tile)), dtype=bool)
+    if task["left"][0].as_py() != task["right"][0].as_py():
+        here = tile[:, None] != tile[None, :]
+    np.fill_diagonal(here, False)
+    return here
