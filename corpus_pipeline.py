@@ -2,31 +2,59 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelledger.llm.byte_bpe import digests, encode_texts
 from parcelledger.llm.common import stored, table
 from parcelledger.llm.decontamination import find_leaks
 from parcelledger.llm.exact_dedup import exact_dedup
+from parcelledger.llm.jaccard_join import jaccard_join
+from parcelledger.llm.toxicity import toxicity
+
+
+def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose identifier is (left_semi) or is not (left_anti) among ``ids``; null counts as a value."""
+    named = ids.select("doc_id").distinct().withColumnRenamed("doc_id", "named")
+    return docs.join(named, docs["doc_id"].eqNullSafe(named["named"]), how)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that the network rejects go."""
+    judged = toxicity(docs, table(spark, sf_dir, "labels"))
+    return _matching(docs, judged.filter("predicted = 1"), "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: of equal texts one row stays."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return _matching(docs, exact_dedup(docs).filter("kept"), "left_semi")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: of each group of near copies the smallest identifier stays."""
+    return _matching(docs, jaccard_join(docs).filter("doc_id <=> class_id"), "left_semi")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that hold a benchmark passage go."""
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    return _matching(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: token ids of each text and what they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return digests(encode_texts(docs, path, public_tokenizers.PATTERN))
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
     ("decontamination", drop_leaks),
+    ("byte_bpe", encode),
 ]
 
-#: No SQL states the trained classifier or the token ids; the rows are tested against a brute-force version.
+#: No SQL states the trained network or the merges; the rows are tested against brute-force versions of the stages.
 ORACLE_SQL = None
 
 
