@@ -2,9 +2,9 @@
 
 Documents with the same shingle set form a class, and one of each goes on. A set is embedded as minimum hashes. In a run
 the sets are split recursively: every bucket picks two of the hashes, the same for all its sets, and each set goes to
-the sub-bucket of its value there, so sets meet along a path of sampled shared tokens. Buckets of a few hundred sets, or at the end of the
-path, are searched by brute force; larger ones are cut into tiles and every pair of tiles is searched, so nothing is
-capped. Two of SIMILAR in common at two branches a level meet in a run with a chance above 0.93 however deep the path is;
+the sub-bucket of its value there, so sets meet along a path of sampled shared tokens. Buckets of up to a thousand sets, and those that
+a split no longer shrinks, are searched by brute force; larger ones are cut into tiles and every pair of tiles is
+searched, so nothing is capped. Two of SIMILAR in common at two branches a level meet in a run with a chance above 0.93 however deep the path is;
 runs are repeated until the target recall is reached.
 
 A pair is examined only in the smallest bucket both belong to. There, first their hashes are compared; the sets of the
@@ -30,8 +30,10 @@ from parcelledger.llm.common import components, forced_skew_join, stored, table,
 from parcelledger.llm.runs import by_key, labels_of, runs, shares_smaller, tiled, within_tiles
 
 WORDS, SIMILAR, RECALL = 5, 0.8, 0.999
-HASHES, BRANCHES, DEPTH = 64, 2, 3
-BUCKET = 256
+HASHES, BRANCHES, DEPTH = 64, 2, 16
+# A bucket is split while it holds more than BUCKET sets, unless it kept more than SHRINK of the one above: then its sets
+# are near copies of each other, which no split takes apart.
+BUCKET, SHRINK = 1024, 0.7
 # Four standard deviations of the estimate from HASHES minimum hashes below SIMILAR.
 LIKELY = SIMILAR - 4 * math.sqrt(SIMILAR * (1 - SIMILAR) / HASHES)
 MEMO = 500_000
@@ -107,19 +109,21 @@ def leaves(sets: DataFrame, n_runs: int) -> DataFrame:
     roots = [
         _branch(F.lit(run).cast("long"), F.lit((run * BRANCHES + b) % HASHES)) for run in range(n_runs) for b in range(BRANCHES)
     ]
-    level = sets.select("id", F.explode(F.array_distinct(F.array(*roots))).alias("path"))
+    level = sets.select("id", F.explode(F.array_distinct(F.array(*roots))).alias("path"), F.lit(None).cast("long").alias("above"))
     found = None
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         level = stored(level.join(sizes, "path"), "join-level")
-        final = level.filter(F.col("n") <= BUCKET) if depth < DEPTH else level
+        tight = F.col("n") > SHRINK * F.col("above")
+        final = level.filter((F.col("n") <= BUCKET) | F.coalesce(tight, F.lit(False)) | F.lit(depth == DEPTH))
         found = final if found is None else found.unionByName(final)
-        if depth == DEPTH:
+        large = level.filter((F.col("n") > BUCKET) & ~F.coalesce(tight, F.lit(False)))
+        if depth == DEPTH or large.isEmpty():
             break
-        large = level.filter(F.col("n") > BUCKET).drop("n").join(sets.select("id", "hashes"), "id")
+        large = large.join(sets.select("id", "hashes"), "id")
         picks = [F.pmod(F.xxhash64("path", F.lit(b)), F.lit(HASHES)).cast("int") for b in range(BRANCHES)]
         children = F.array_distinct(F.array(*[_branch(F.col("path"), p) for p in picks]))
-        level = large.select("id", F.explode(children).alias("path"))
+        level = large.select("id", F.explode(children).alias("path"), F.col("n").alias("above"))
     return found.select("id", "path", "n")
 
 

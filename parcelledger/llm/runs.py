@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a tile; a task holds two.
-TILE = 384
+TILE = 1024
 
 
 def by_key(rows: DataFrame, key: str = "key") -> DataFrame:

@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 from parcelledger.llm.common import table, text_rows
 
-WINDOW, STRIDE = 32, 24
-SIZE, HIDDEN = 16, 12
+WINDOW, STRIDE = 32, 28
+SIZE, HIDDEN = 16, 8
 WORD_BUCKETS, PIECE_BUCKETS = 1 << 15, 1 << 14
 #: The fit takes so many labelled rows of each class, of texts up to so many characters; scoring has no bound.
 FIT_ROWS, FIT_CHARS = 2500, 4000
 EPOCHS, BATCH, RATE = 5, 32, 0.02
-MEMO, CHUNK = 150_000, 4096
+MEMO, CHUNK = 400_000, 4096
 WORD = re.compile(r"[^\W_]+")
 
 
