@@ -44,11 +44,26 @@ def window_starts(n: int) -> range:
     return range(0, max(1, n - (WINDOW - STRIDE)), STRIDE)
 
 
-def buckets_of(word: str) -> tuple[int, list[int]]:
-    """Word bucket, and buckets of the pieces of the word with its ends marked."""
-    marked = f"<{word}>"
-    pieces = [marked[i : i + n] for n in (3, 4) for i in range(len(marked) - n + 1)]
-    return zlib.crc32(word.encode()) % WORD_BUCKETS, [zlib.crc32(p.encode()) % PIECE_BUCKETS for p in pieces]
+def buckets_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word bucket of each word; buckets of the pieces of all words with their ends marked; the owner of each piece."""
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    buckets, owners = [], []
+    for n in (3, 4):
+        last = len(codes) - n + 1
+        if last < 1:
+            continue
+        mixed = np.full(last, np.uint64(n))
+        for i in range(n):
+            mixed = (mixed ^ codes[i : last + i]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(32)
+        whole = owner[:last] == owner[n - 1 :]
+        buckets.append((mixed[whole] % np.uint64(PIECE_BUCKETS)).astype(np.int64))
+        owners.append(owner[:last][whole])
+    owners, buckets = np.concatenate(owners), np.concatenate(buckets)
+    order = np.argsort(owners, kind="stable")
+    own = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_BUCKETS for w in words])
+    return own, buckets[order], owners[order]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -81,9 +96,11 @@ class Network:
         }
         return cls(draw(WORD_BUCKETS, SIZE, scale=0.1), draw(PIECE_BUCKETS, SIZE, scale=0.1), dense)
 
-    def vector(self, word: str) -> np.ndarray:
-        w, pieces = buckets_of(word)
-        return self.word[w] + self.piece[pieces].mean(axis=0)
+    def vectors(self, words: list[str]) -> np.ndarray:
+        own, pieces, owner = buckets_of(words)
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        means = np.add.reduceat(self.piece[pieces], starts, axis=0) / np.bincount(owner)[:, None]
+        return (self.word[own] + means).astype(np.float32)
 
     def _layer(self, x: np.ndarray, filled: np.ndarray, name: str, keep: list | None) -> np.ndarray:
         """States of one direction. x: windows, words, 3 * HIDDEN; keep gathers what the way back needs."""
@@ -151,37 +168,41 @@ class Network:
     def score(self, texts: list[str]) -> list[float]:
         """Score of the worst window of each text."""
         worst = np.full(len(texts), -np.inf, np.float32)
-        rows, owners = [], []
-        for i, text in enumerate(texts):
-            ids = self._ids(words_in(text))
-            for a in window_starts(len(ids)):
-                rows.append(ids[a : a + WINDOW])
-                owners.append(i)
-                if len(rows) == CHUNK:
-                    np.maximum.at(worst, owners, self._logits(rows))
-                    rows, owners = [], []
+        rows: list[list[int]] = []
+        owners: list[int] = []
+
+        def settle() -> None:
+            if rows:
+                np.maximum.at(worst, owners, self._logits(rows))
+                rows.clear()
+                owners.clear()
+
+        for first in range(0, len(texts), 64):
+            split = [words_in(text) for text in texts[first : first + 64]]
             if len(self.memo) > MEMO:
-                # Numbers of words end with the memo, so pending windows come first.
-                if rows:
-                    np.maximum.at(worst, owners, self._logits(rows))
-                    rows, owners = [], []
+                settle()  # numbers of words end with the memo
                 self.memo, self.projected = {}, None
-        if rows:
-            np.maximum.at(worst, owners, self._logits(rows))
+            self._learn_words(split)
+            for i, words in enumerate(split, first):
+                ids = list(map(self.memo.__getitem__, words))
+                for a in window_starts(len(ids)):
+                    rows.append(ids[a : a + WINDOW])
+                    owners.append(i)
+                    if len(rows) == CHUNK:
+                        settle()
+        settle()
         return (1 / (1 + np.exp(-worst.astype(np.float64)))).tolist()
 
-    def _ids(self, words: list[str]) -> list[int]:
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
+    def _learn_words(self, split: list[list[str]]) -> None:
         if self.projected is None:
             self.projected = np.zeros((1 << 12, 6 * HIDDEN), np.float32)
+        new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.memo]
         if new:
             first = len(self.memo) + 1  # number 0 is the empty place
             while first + len(new) > len(self.projected):
                 self.projected = np.concatenate([self.projected, np.zeros_like(self.projected)])
-            vectors = np.array([self.vector(w) for w in new])
-            self.projected[first : first + len(new)] = vectors @ self.dense["into"] + self.dense["bias"]
+            self.projected[first : first + len(new)] = self.vectors(new) @ self.dense["into"] + self.dense["bias"]
             self.memo.update(zip(new, range(first, first + len(new)), strict=True))
-        return list(map(self.memo.__getitem__, words))
 
     def _logits(self, rows: list[list[int]]) -> np.ndarray:
         width = max(1, max(map(len, rows)))
@@ -232,10 +253,7 @@ def _learn(net: Network, step: _Step, batch: list[tuple[list[list[str]], int]])
     for row, w in zip(ids, windows, strict=True):
         row[: len(w)] = [number[x] for x in w]
     filled = ids >= 0
-    found = [buckets_of(w) for w in vocabulary] or [(0, [0])]
-    word_rows = np.array([w for w, _ in found])
-    piece_rows = np.concatenate([p for _, p in found])
-    owner = np.repeat(np.arange(len(found)), [len(p) for _, p in found])
+    word_rows, piece_rows, owner = buckets_of(vocabulary or ["x"])
     share = (1 / np.bincount(owner))[owner].astype(np.float32)
     vectors = net.word[word_rows].copy()
     np.add.at(vectors, owner, net.piece[piece_rows] * share[:, None])
