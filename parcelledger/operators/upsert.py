@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from parcelledger.operators.quality import duplicate_keys
 from parcelledger.sources.scratch import use_checkpoint_dir
 
 POLICIES = ("replace", "coalesce")
+PARTITION_TYPES = ("date", "tinyint", "smallint", "int", "bigint")
 
 
 def merged_rows(target: DataFrame, source: DataFrame, key: str, policy: str = "replace") -> DataFrame:
@@ -44,9 +44,14 @@ def merge_upsert(
     delta costs a scan of the key column plus those partitions. A key whose partition
     value changed leaves its old partition; a partition left without rows is removed.
     The new files replace the old ones at job commit, and running the same upsert again
-    gives the same table. Duplicate source keys are an error.
+    gives the same table. Duplicate source keys, and a partition column that is no date
+    or whole number, are errors, raised before anything is written.
     """
     spark = source.sparkSession
+    kind = dict(spark.read.parquet(target_path).dtypes).get(partition)
+    if kind not in PARTITION_TYPES:
+        # Folder names of other types are escaped: an emptied one would not be found again.
+        raise TypeError(f"partition the table by a date or an integer column, not by {partition}: {kind}")
     use_checkpoint_dir(spark)
     source = source.checkpoint()
     if not duplicate_keys(source, [key]).isEmpty():
@@ -93,13 +98,10 @@ def _one_of(column: str, values: set[Any]) -> Column:
 
 
 def _folder_value(value: Any) -> str:
-    if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(value, (date, datetime, int)):
-        return str(value)
-    raise TypeError("partition the table by a date or an integer column")
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
 
 
 def _remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+        raise OSError(f"{folder} should have been emptied, but is not there")

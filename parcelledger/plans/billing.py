@@ -196,9 +196,9 @@ def net_fee_rules(faithful: bool = True) -> list[NetRule]:
     total, standard, received = "total_fee", "standard_fee", "receivable_fee"
     gross, share = "card_gross", "tariff_share"
     special = F.col("key_account_name") == V.SPECIAL_ACCOUNT
-    contract = NetRule("standard rate", F.col("standard_client").isNotNull(), total)
-    if not faithful:
-        contract = contract._replace(part=standard, share="standard_share")
+    # Read as zero, the rate still leaves no fee where the standard fee is missing.
+    contract_share = "no_share" if faithful else "standard_share"
+    contract = NetRule("standard rate", F.col("standard_client").isNotNull(), total, standard, contract_share)
     has_api_rate = F.col("api_source").isNotNull() & F.col("express_type_name").isin(*V.API_RATE_COLUMN)
     return [
         NetRule("platform card", _source(V.SOURCE_PLATFORM), total, standard, share),
@@ -584,6 +584,7 @@ def _with_account_rates(df: DataFrame, tables: Tables, as_of: date, tz: str) ->
         },
         {
             "standard_client": "shipping_client_id",
+            "no_share": F.lit(0).cast(RATE),
             "standard_share": (F.coalesce(rate("discount_rate"), F.lit(0).cast(RATE)) / F.lit(100)).cast(RATE),
         },
     )

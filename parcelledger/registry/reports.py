@@ -244,16 +244,11 @@ UPSERT_SQL = """SELECT * FROM journey WHERE tracking_id NOT IN (SELECT tracking_
     UNION ALL BY NAME SELECT * FROM changes"""
 
 
-def _journey_delta_of_late_users(s: Sample) -> DataFrame:
-    # The delta covers handled rows only, so that the upsert both replaces and keeps rows.
-    return _journey(s, journey.delta_window(EVENTS_AS_OF)).filter(F.col("order_id").isNotNull())
-
-
 @query(with_views(JOURNEY_VIEWS, f""", {PLACED_SQL}, {journey_ctes('full')}, {journey_ctes('delta', 'changed')},
-    changes AS (SELECT * FROM changed WHERE order_id IS NOT NULL) {UPSERT_SQL}"""))
+    changes AS (SELECT * FROM changed) {UPSERT_SQL}"""))
 def journey_upsert(s: Sample) -> DataFrame:
     target = _journey(s, journey.full_window(EVENTS_AS_OF))
-    return merged_rows(target, _journey_delta_of_late_users(s), "tracking_id")
+    return merged_rows(target, _journey(s, journey.delta_window(EVENTS_AS_OF)), "tracking_id")
 
 
 @query(with_views(["registrations", "locations", "districts"], f""", {PLACED_SQL} SELECT tracking_id, created_time, loc_code,

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelledger.operators import merge_upsert
-from parcelledger.plans import journey, monitoring, oms
+from parcelledger.plans import billing, journey, monitoring, oms
+from parcelledger.registry import billing_sql as B
 from parcelledger.registry import reports as R
 from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query, with_views
-from parcelledger.sources import append_days, export_csv, replace_table, scratch_dir, write_clustered
-from parcelledger.sources.sample import FINANCE, JOURNEY, MONITORING, sample_tables
+from parcelledger.registry.rules import SCHEME_START
+from parcelledger.sources import append_load, export_csv, replace_table, scratch_dir, write_clustered
+from parcelledger.sources.sample import BILLING, FINANCE, JOURNEY, MONITORING, sample_tables
 
 JOURNEY_ROWS = ", ".join(["*", "CAST(event_time AS DATE) AS event_day"])
 
@@ -23,13 +27,21 @@ def _journey(s: Sample, window: journey.Window) -> DataFrame:
     return R._journey(s, window).withColumn("event_day", F.col("event_time").cast("date"))
 
 
-@query(f"SELECT *, CAST(date_trunc('month', pod_date) AS DATE) AS pod_month FROM ({R.oms_aggregate_sql(R.HISTORY)})")
-def sink_append_days(s: Sample) -> DataFrame:
-    """Load the history, then load its last months again: nothing doubles."""
-    path = scratch_dir(s.spark, "daily")
-    rows = _daily(s, R.HISTORY).withColumn("pod_month", F.trunc("pod_date", "month"))
-    append_days(rows, path, "pod_month", ["pod_date", "waybill_source", "cod_flag"])
-    append_days(rows.filter("pod_month >= '2001-06-01'"), path, "pod_month", ["pod_date", "waybill_source", "cod_flag"])
+LOADS = [FACTS_AS_OF - timedelta(days=n) for n in (2, 1, 0)]
+LOADS_SQL = " UNION ALL ".join(
+    f"SELECT *, DATE '{day - timedelta(days=1)}' AS load_day FROM ({B.billing_query(1).replace(B.DAY, f"DATE '{day}'")})"
+    for day in LOADS
+)
+
+
+@query(LOADS_SQL)
+def sink_append_billing(s: Sample) -> DataFrame:
+    """Three daily loads of billing rows, the second one twice: no row is lost and none doubles."""
+    path = scratch_dir(s.spark, "billing")
+    tables = sample_tables(s.spark, s.folder, BILLING)
+    for day in (LOADS[0], LOADS[1], LOADS[1], LOADS[2]):
+        rows = billing.daily_billing(tables, day, scheme_start=SCHEME_START)
+        append_load(rows, path, day - timedelta(days=1), ["pod_date", "waybill_no"])
     return s.spark.read.parquet(path)
 
 
@@ -56,12 +68,12 @@ def sink_replace(s: Sample) -> DataFrame:
 
 
 @query(with_views(R.JOURNEY_VIEWS, f""", {R.PLACED_SQL}, {R.journey_ctes('full')}, {R.journey_ctes('delta', 'changed')},
-    changes AS (SELECT * FROM changed WHERE order_id IS NOT NULL), merged AS ({R.UPSERT_SQL}) SELECT {JOURNEY_ROWS} FROM merged"""))
+    changes AS (SELECT * FROM changed), merged AS ({R.UPSERT_SQL}) SELECT {JOURNEY_ROWS} FROM merged"""))
 def sink_upsert(s: Sample) -> DataFrame:
     """Daily delta merged into the stored journey mart."""
     path = scratch_dir(s.spark, "upsert")
     write_clustered(_journey(s, journey.full_window(EVENTS_AS_OF)), path, "event_day", ["tracking_id", "source_hub"])
-    delta = _journey(s, journey.delta_window(EVENTS_AS_OF)).filter(F.col("order_id").isNotNull())
+    delta = _journey(s, journey.delta_window(EVENTS_AS_OF))
     merge_upsert(path, delta, "tracking_id", "event_day")
     return s.spark.read.parquet(path)
 

@@ -2,7 +2,7 @@
 
 from parcelledger.sources.scratch import scratch_dir, use_checkpoint_dir
 from parcelledger.sources.sinks import (
-    append_days,
+    append_load,
     export_csv,
     replace_table,
     write_clustered,
@@ -11,7 +11,7 @@ from parcelledger.sources.tables import Tables
 
 __all__ = [
     "Tables",
-    "append_days",
+    "append_load",
     "export_csv",
     "replace_table",
     "scratch_dir",

@@ -96,7 +96,8 @@ VIEWS: dict[str, str] = {
         CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(CAST(l_quantity * 0.131 AS DECIMAL(18,3)) AS STRING) END
             AS item_calculated_weight,
         CAST(CAST(l_quantity * 0.25 AS DECIMAL(18,2)) AS STRING) AS item_actual_weight,
-        {_PARCEL_FEE} AS total_shipping_fee, CAST({_PRICE} AS DECIMAL(18,4)) AS standard_shipping_fee,
+        {_PARCEL_FEE} AS total_shipping_fee,
+        CASE WHEN l_linenumber <> 5 THEN CAST({_PRICE} AS DECIMAL(18,4)) END AS standard_shipping_fee,
         {_of(_PRICE, "0.9")} AS receivable_shipping_fee, {_of(_PRICE, "0.01")} AS handling_fee,
         {_of(_PRICE, "0.02")} AS other_fee,
         CASE WHEN l_tax > 0.03 THEN {_of(_PRICE, "0.005")} ELSE CAST(0 AS DECIMAL(18,4)) END AS insurance_amount,

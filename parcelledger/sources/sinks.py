@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+LOAD_DAY = "load_day"
 
 
 def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
@@ -22,13 +26,20 @@ def write_clustered(
     _clustered(df, partition, cluster).write.mode(mode).partitionBy(partition).parquet(path)
 
 
-def append_days(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> None:
-    """Add daily rows; a re-run replaces the days it brings instead of doubling them."""
+def append_load(df: DataFrame, path: str, load_day: date, cluster: Sequence[str]) -> None:
+    """Add the rows of one daily load; a re-run replaces that load and nothing else.
+
+    The table is in folders by ``load_day``, not by a day of the rows: a load may bring rows of earlier days, and
+    those must stand beside what earlier loads brought for them.
+    """
+    if LOAD_DAY in df.columns:
+        raise ValueError(f"the rows have a column {LOAD_DAY} of their own")
+    loaded = df.withColumn(LOAD_DAY, F.lit(load_day))
     (
-        _clustered(df, day, cluster)
+        _clustered(loaded, LOAD_DAY, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
+        .partitionBy(LOAD_DAY)
         .parquet(path)
     )
 

@@ -24,7 +24,7 @@ from parcelledger.operators import (
     reconcile,
     tier_lookup,
 )
-from parcelledger.sources import Tables, append_days, scratch_dir
+from parcelledger.sources import Tables, append_load, scratch_dir
 
 
 def rows(df):
@@ -248,7 +248,7 @@ def test_upsert_policies(spark):
 
 def test_append_needs_a_column_to_spread_a_day(spark):
     with pytest.raises(ValueError, match="cluster"):
-        append_days(spark.createDataFrame([(1, "a", FIRST)], SCHEMA), "/tmp/unused", "day", [])
+        append_load(spark.createDataFrame([(1, "a", FIRST)], SCHEMA), "/tmp/unused", FIRST, [])
 
 
 def test_tables_from_files_and_catalog(spark, small):
@@ -256,3 +256,23 @@ def test_tables_from_files_and_catalog(spark, small):
     tables["fact_orders"].createOrReplaceTempView("orders_by_name")
     assert Tables.from_catalog(spark, {"fact_orders": "orders_by_name"})["fact_orders"].count() == tables["fact_orders"].count()
     assert list(tables.with_tables(more=tables["fact_orders"])) == ["fact_orders", "more"]
+
+
+def test_a_load_leaves_earlier_loads_alone(spark):
+    path = scratch_dir(spark, "loads")
+    first = spark.createDataFrame([(1, "a", FIRST), (2, "b", FIRST)], SCHEMA)
+    late = spark.createDataFrame([(3, "c", FIRST), (4, "d", SECOND)], SCHEMA)
+    for rows, day in ((first, FIRST), (late, SECOND), (late, SECOND)):
+        append_load(rows, path, day, ["day", "id"])
+    got = {(r.id, r.day, r.load_day) for r in spark.read.parquet(path).collect()}
+    assert got == {(1, FIRST, FIRST), (2, FIRST, FIRST), (3, FIRST, SECOND), (4, SECOND, SECOND)}
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_upsert_refuses_a_timestamp_partition_before_writing(spark):
+    path = scratch_dir(spark, "stamped")
+    rows = spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-01 10:30:00' AS at")
+    rows.write.partitionBy("at").parquet(path)
+    with pytest.raises(TypeError):
+        merge_upsert(path, spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-02 08:15:00' AS at"), "id", "at")
+    assert spark.read.parquet(path).count() == 1

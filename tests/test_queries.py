@@ -6,12 +6,15 @@ import pytest
 from compare import difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from parcelledger.registry import oracles, runners
 
-NAMES = sorted(queries())
+NAMES = sorted(runners())
 
 
 def test_every_query_has_a_statement():
-    assert set(oracle_sql()) == set(NAMES)
+    assert set(oracles()) == set(NAMES)
+    assert set(NAMES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
