@@ -102,7 +102,8 @@ def _best_window(doc_part: Column, item_part: Column, item_words: Column) -> Col
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, doc_start, doc_end, n_alignments, best_matches) of every document that holds a benchmark passage.
 
-    ``items`` has item_id and text. Start and end count words of the document and enclose the windows found.
+    ``items`` has item_id and text. Start and end count words of the document and
+    enclose, for every seed that hit, the first of its best windows.
     """
     named = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     seeds = stored(_item_seeds(named), "leak-seeds")

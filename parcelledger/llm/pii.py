@@ -64,6 +64,8 @@ class Kind:
     group: str
     gazetteer: str
     near: str
+    #: Matches of fewer digits are no candidates: every number in a text would be one.
+    least_digits: int = 0
 
 
 # The base expressions in Java syntax. \G lets a match begin right where the one before ended.
@@ -84,8 +86,8 @@ NOT_NEAR = r"(?i)(?:version|isbn|order|invoice|page|no\.|nr\.|ref|seite|artikel|
 KINDS = (
     Kind("email", EMAIL, _always, True, "email", MAIL_ENDS, NEAR_MAIL),
     Kind("ip", ADDRESS, _address, True, "ip", r"^(?:10\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|[1-9])", NEAR_HOST),
-    Kind("card", CARD, lambda h: _count(14, 19)(h) & luhn(h), True, "card", ISSUER, NEAR_CARD),
-    Kind("phone", PHONE, _count(10, 15), True, "phone", DIAL, NEAR_PHONE),
+    Kind("card", CARD, lambda h: _count(14, 19)(h) & luhn(h), True, "card", ISSUER, NEAR_CARD, 12),
+    Kind("phone", PHONE, _count(10, 15), True, "phone", DIAL, NEAR_PHONE, 7),
     Kind(
         "email_spelled",
         r"(?<![A-Za-z0-9])[A-Za-z0-9._-]{2,64}+\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{2,63}+(?:(?:\x20?[\[(](?:dot|DOT)[\])]\x20?|\.)[A-Za-z]{2,63}+)+",
@@ -125,7 +127,10 @@ def _candidates(text: Column, number: int, kind: Kind) -> Column:
             valid.alias("valid"), votes.alias("votes"), features.alias("features"),
         )
 
-    return F.transform(find_spans(text, kind.pattern, kind.name, number), judged)
+    spans = find_spans(text, kind.pattern, kind.name, number)
+    if kind.least_digits:
+        spans = F.filter(spans, lambda s: F.char_length(_digits(s["hit"])) >= kind.least_digits)
+    return F.transform(spans, judged)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -248,10 +253,13 @@ def _number_of(rank: int) -> Column:
     return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
 
 
+def report(docs: DataFrame) -> DataFrame:
+    """Counts and digest of the base kinds, and all spans as text."""
+    counts = [_number_of(n).alias(f"n_{k.name}") for n, k in enumerate(KINDS) if k.base]
+    digest = F.sha2(joined(F.col("base")), 256).alias("base_sha256")
+    return detect(docs).select("doc_id", *counts, digest, joined(F.concat("base", "added")).alias("spans"))
+
+
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document."""
-    found = detect(table(spark, folder, "documents"))
-    counts = [_number_of(n).alias(f"n_{k.name}") for n, k in enumerate(KINDS) if k.base]
-    return found.select(
-        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans")
-    )
+    return report(table(spark, folder, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,24 +12,33 @@ CHUNK = 128
 SPAN = "array<struct<start:int,rank:int,stop:int,kind:string,hit:string>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once, however often ``use`` or a lambda inside it names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, base: Column) -> Column:
+    state = F.struct(base.alias("at"), F.array().cast("array<int>").alias("seen"))
+    return F.aggregate(
+        values,
+        state,
+        lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["seen"], F.array(s["at"])).alias("seen")),
+        lambda s: s["seen"],
+    )
+
+
 def _starts(lengths: Column) -> Column:
     """Where each piece begins. Pieces are added up in chunks, so that the copies made by a fold stay short."""
-    n = F.size(lengths)
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int")), lambda c: F.slice(lengths, c * CHUNK + 1, CHUNK)
-    )
 
-    def running(values: Column, base: Column) -> Column:
-        state = F.struct(base.alias("at"), F.array().cast("array<int>").alias("seen"))
-        return F.aggregate(
-            values,
-            state,
-            lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["seen"], F.array(s["at"])).alias("seen")),
-            lambda s: s["seen"],
-        )
+    def chunked(whole: Column) -> Column:
+        last = F.floor((F.size(whole) - 1) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(whole, c * CHUNK + 1, CHUNK))
+
+    def added(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x))
+        return F.flatten(F.zip_with(chunks, _running(totals, F.lit(0)), _running))
 
-    totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x))
-    return F.flatten(F.zip_with(chunks, running(totals, F.lit(0)), running))
+    return bound(bound(lengths, chunked), added)
 
 
 def find_spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
@@ -38,30 +49,24 @@ def find_spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
     ``\\G`` in a pattern stands for the end of the match before, or the start of the text.
     """
     marked = F.regexp_replace(F.translate(text, MARK, STAND_IN), f"(?:{pattern})", f"{MARK}$0{MARK}")
-    parts = F.split(marked, MARK, -1)
 
-    def located(pieces: Column) -> Column:
-        begin = _starts(F.transform(pieces, F.char_length))
-        odd = F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2))
+    def located(pieces: Column, begin: Column) -> Column:
         return F.transform(
-            odd,
+            F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
             lambda i: F.struct(
                 F.get(begin, i).alias("start"),
                 F.lit(rank).alias("rank"),
-                (F.get(begin, i) + F.char_length(F.get(pieces, i))).alias("stop"),
+                F.get(begin, i + 1).alias("stop"),
                 F.lit(kind).alias("kind"),
                 F.get(pieces, i).alias("hit"),
             ),
         )
 
-    # One evaluation of the pattern: the parts are bound once, as the only element of an array.
-    bound = F.flatten(
-        F.transform(
-            F.filter(F.array(parts), lambda p: F.size(p) > 1),
-            located,
-        )
-    )
-    return bound.cast(SPAN)
+    def spans(pieces: Column) -> Column:
+        found = bound(_starts(F.transform(pieces, F.char_length)), lambda begin: located(pieces, begin))
+        return F.when(F.size(pieces) > 1, found).otherwise(F.array().cast(SPAN))
+
+    return bound(F.split(marked, MARK, -1), spans).cast(SPAN)
 
 
 def joined(spans: Column) -> Column:
