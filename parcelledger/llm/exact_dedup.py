@@ -100,18 +100,25 @@ def exact_dedup(
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, keep_locator.
 
     With the ``state_dir`` of earlier runs, rows also count against the texts met there; ``seen`` are the rows of
-    those runs (the locators name their files), for the comparison of the bytes. ``text_sha256`` is the digest in
+    those runs (the locators name their files), for the comparison of the bytes. Signatures are then also appended
+    to a folder beside the state, so a batch of rows is to be passed once. ``text_sha256`` is the digest in
     hex. ``keep_locator`` is null where texts had to be split from each other.
     """
     spark = docs.sparkSession
     forced_skew_join(spark)
     signed = stored(signatures(docs, digest), "dedup-signatures")
-    files = signed.inputFiles()
-    if files:
-        arrivals = spark.readStream.schema(signed.schema).parquet(files[0].rpartition("/")[0])
-        state = feed(spark, arrivals, state_dir or scratch_dir(spark, "dedup-state"))
+    if state_dir is not None:
+        # A stream goes on only where its source stays in place.
+        source = f"{state_dir.rstrip('/')}-arrivals"
+        signed.write.mode("append").parquet(source)
     else:
+        files = signed.inputFiles()
+        source = files[0].rpartition("/")[0] if files else None
+    if source is None:
         state = keyed(signed)
+    else:
+        arrivals = spark.readStream.schema(signed.schema).parquet(source)
+        state = feed(spark, arrivals, state_dir or scratch_dir(spark, "dedup-state"))
     state = stored(state, "dedup-keys")
 
     rows = text_rows(docs) if seen is None else text_rows(docs).union(text_rows(seen))

@@ -27,7 +27,7 @@ LISTED = (
     ("net", "/fr/", "block"),
 )
 LABEL = "=block"
-SUPPORT, CONFIDENCE, LIFT, LONGEST = 0.002, 0.5, 1.2, 5
+SUPPORT, CONFIDENCE, LIFT, LONGEST = 0.002, 0.6, 1.2, 5
 #: A token set must also occur in so many labelled pages, which matters where few are labelled.
 LEAST_PAGES = 20
 RULE = "tokens array<string>, support double, confidence double, lift double, rule_id string"

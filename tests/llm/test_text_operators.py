@@ -177,7 +177,7 @@ def test_byte_bpe(spark, docs, odd, empty):
     words = [" thenshly", "語語", "a", "Ünter", "tioningtioningtion", "\x00\x01", "xyzzyqwpoeirutyxyzzyqwpoeiruty" * 3]
     found = byte_bpe.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks).collect()
     for r in found:
-        assert r.ids == byte_bpe.merge_bytes(r.word.encode(), ranks) == own.encode_single_piece(r.word)
+        assert r.ids == byte_bpe.merge_bytes(r.word.encode(), ranks) == own._encode_single_piece(r.word)
         assert bytes(r.decoded) == r.word.encode()
 
 
@@ -191,8 +191,8 @@ def test_leaks(spark, odd, empty):
     found = decontamination.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items)
     got = {(r.doc_id, r.item_id): (r.doc_start, r.best_matches) for r in found.collect()}
     assert got[1, 0] == (1, 13) and got[2, 0] == (2, 11) and got[6, 0] == (0, 13)
-    assert {k for k in got if k[1] == 0} == {(1, 0), (2, 0), (6, 0)}
-    assert {k[0] for k in got if k[1] == 3} == {1, 2, 3, 4, 6}
+    assert {k for k in got if k[1] == 0} == {(1, 0), (2, 0), (4, 0), (6, 0)}
+    assert {k[0] for k in got if k[1] == 3} == {1, 2, 4, 6}
     assert decontamination.find_leaks(empty, items).count() == 0
     assert decontamination.find_leaks(odd, items.filter("false")).count() == 0
 
