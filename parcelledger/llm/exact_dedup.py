@@ -23,7 +23,11 @@ from parcelledger.llm.common import forced_skew_join, stored, table, text_rows
 from parcelledger.sources.scratch import scratch_dir
 
 WHITE = r"[\x20\x09-\x0D]"
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # There are as many stores as shuffle partitions: each would reserve some megabytes of disk ahead of need.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -60,13 +64,14 @@ def keyed(rows: DataFrame) -> DataFrame:
 
 @contextmanager
 def _disk_backed(spark: SparkSession) -> Iterator[None]:
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, PROVIDER)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def feed(spark: SparkSession, arrivals: DataFrame, state_dir: str) -> DataFrame:
