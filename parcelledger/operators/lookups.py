@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from parcelledger.functions.columns import ColumnLike, as_column
 
+#: Slots of a range join between a number and its double.
+SLOTS = 16
+
 
 def lookup(
     df: DataFrame,
@@ -85,21 +88,21 @@ def tier_lookup(
     keys: Mapping[str, ColumnLike] | None = None,
     low: str = "Bottom",
     high: str = "Up",
-    top_slot: int = 256,
 ) -> DataFrame:
-    """Left range join ``low <= value <= high`` through whole-number slots.
+    """Left range join ``low <= value <= high`` through slots that widen with the value.
 
-    Each tier is listed under every whole number it touches, and a row probes only the
-    slot of its own value, so the join is an equi-join that scales with either side.
-    Values beyond ``top_slot`` share the last slot; the exact bounds are always checked,
-    so a pair meets in one slot only. ``keys`` adds equal columns, as in ``lookup``, so one
+    Each tier is listed under every slot it touches, and a row probes only the slot of its
+    own value, so the join is an equi-join that scales with either side. A slot is about a
+    twentieth of its value wide, however large that is, so a tier has few slots and no value
+    is too large for a slot of its own. The exact bounds are always checked, and a pair meets
+    in one slot only. Values below zero share the slot of zero. ``keys`` adds equal columns, as in ``lookup``, so one
     table may hold the tiers of several tariffs.
     """
     keys = keys or {}
     marks = [f"__key{i}" for i in range(len(keys))]
     def slot(number: Column) -> Column:
-        inside = F.least(F.greatest(number, F.lit(0)), F.lit(top_slot))
-        return F.floor(inside).cast("int")
+        # Rising with the number, so a value between two bounds is in a slot between theirs.
+        return F.floor(F.log2(F.greatest(number, F.lit(0)).cast("double") + 1) * SLOTS).cast("int")
 
     probe = as_column(value)
     spread = (

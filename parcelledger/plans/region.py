@@ -92,10 +92,11 @@ def net_by_region(tables: Tables, tz: str = JAKARTA, ordered: bool = True) -> Da
     waybills = current_waybills(tables, tz).withColumn(
         "pod_or_return_date", F.coalesce("pod_record_time", "return_pod_record_time")
     )
+    # A waybill has one description, so equal rows may be merged after the join, where they
+    # are spread by waybill already.
     rows = lookup(
-        net.distinct(), waybills, {"waybill_no": "waybill_no"},
-        {c: c for c in ("pod_or_return_date", *described)},
-    ).select("pod_or_return_date", "waybill_no", *described, *NET_MEASURES)
+        net, waybills, {"waybill_no": "waybill_no"}, {c: c for c in ("pod_or_return_date", *described)}
+    ).select("pod_or_return_date", "waybill_no", *described, *NET_MEASURES).distinct()
     if not ordered:
         return rows
     # The waybill number lets the range sort split a day that holds most of the rows.

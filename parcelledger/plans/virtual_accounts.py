@@ -140,7 +140,8 @@ def va_monitoring(tables: Tables, as_of: date, tz: str = JAKARTA, days: int = 62
     """Bills and their waybills, one row each.
 
     The amounts are reduced to one row per bill and waybill before they meet the wide bill
-    rows, and equal bill rows are merged, so the wide rows are never grouped.
+    rows. Equal bill rows share an id: the bills are spread by it once, for merging them and
+    for the join.
     """
     bills = va_detail(tables, as_of, tz, days).filter(F.col("Tanggal_Tagihan_VA").isNotNull())
     nominal = F.col("va_cod_amount") + F.col("va_cash_settlement_amount") + F.coalesce(
@@ -154,7 +155,7 @@ def va_monitoring(tables: Tables, as_of: date, tz: str = JAKARTA, days: int = 62
         }
     ).select(*BILL_KEYS)
     rows = lookup(
-        bills.distinct(), waybill_amounts(tables), {"branch_virtual_account_id": "id"},
+        bills.repartition("id").distinct(), waybill_amounts(tables), {"branch_virtual_account_id": "id"},
         {c: c for c in ("waybill_no", "COD_Amount", "Cash_Amount")},
         how="inner",
     )

@@ -157,27 +157,20 @@ def _with_fees(payments: DataFrame, tables: Tables, floor: date, tz: str) -> Dat
     return paid.withColumn("discount_rate", own_rate)
 
 
-def single_transactions(
-    tables: Tables, floor: date = V.WALLET_HISTORY_START, tz: str = JAKARTA
-) -> DataFrame:
+def paid_singly(tables: Tables) -> DataFrame:
     """Payments outside a batch, one row per waybill of the payment."""
-    payments = _payments(tables).filter(F.col("batch_id") == "")
-    detail = lookup(
-        payments, tables["wallet_history_detail"], {"wallet_history_id": "history_id"},
-        {"paid_waybill": "waybill_no"}, how="inner",
+    return lookup(
+        _payments(tables).filter(F.col("batch_id") == ""), tables["wallet_history_detail"],
+        {"wallet_history_id": "history_id"}, {"paid_waybill": "waybill_no"}, how="inner",
     )
-    return _with_fees(detail, tables, floor, tz)
 
 
-def batch_transactions(
-    tables: Tables, floor: date = V.WALLET_HISTORY_START, tz: str = JAKARTA
-) -> DataFrame:
+def paid_in_batches(tables: Tables) -> DataFrame:
     """Payments of a batch, one row per waybill of the batch."""
-    payments = _payments(tables).filter(F.col("batch_id") != "")
-    detail = lookup(
-        payments, tables["vip_order"], {"batch_id": "batch_id"}, {"paid_waybill": "waybill_no"}, how="inner"
+    return lookup(
+        _payments(tables).filter(F.col("batch_id") != ""), tables["vip_order"],
+        {"batch_id": "batch_id"}, {"paid_waybill": "waybill_no"}, how="inner",
     )
-    return _with_fees(detail, tables, floor, tz)
 
 
 def _batch_sizes(tables: Tables) -> DataFrame:
@@ -196,22 +189,16 @@ def wallet_transactions(
 ) -> DataFrame:
     """All wallet rows with the batch amount on the first row of each batch.
 
-    Only batch rows take part in windows: single payments share the empty batch id and
-    would form one giant partition.
+    Both kinds of payments meet the fees in the same joins, so each fact is read and spread
+    once. Single payments share the empty batch id and would form one giant group, so each
+    gets a group of its own; what the windows say about it is not used.
     """
-    nothing = F.lit(None)
-    single = single_transactions(tables, floor, tz).select(
-        "*",
-        nothing.cast("long").alias("batch_rank"),
-        F.col("amount").alias("filtered_amount"),
-        F.col("standard_shipping_fee").alias("batch_standard_shipping_fee"),
-        F.col("total_shipping_fee").alias("batch_total_shipping_fee"),
-        F.abs("discount_rate").alias("final_rate"),
-    )
-
+    paid = _with_fees(paid_singly(tables).unionByName(paid_in_batches(tables)), tables, floor, tz)
+    in_batch = F.col("batch_id") != ""
+    spare = F.when(in_batch, F.lit(0)).otherwise(F.xxhash64("tx_no", "oo_waybill_no"))
     ranked = ranked_with_totals(
-        batch_transactions(tables, floor, tz),
-        group="batch_id",
+        paid.withColumn("batch", F.struct("batch_id", spare.alias("spare"))),
+        group="batch",
         order="oo_waybill_no",
         totals={
             "sum_standard": F.col("standard_shipping_fee"),
@@ -219,20 +206,24 @@ def wallet_transactions(
             "sum_abs_standard": F.abs("standard_shipping_fee"),
             "sum_abs_total": F.abs("total_shipping_fee"),
         },
-        rank="batch_rank",
+        rank="rank",
         hot_rows=hot_batch_rows,
         sizes=_batch_sizes(tables),
     )
-    first = F.col("batch_rank") == 1
-    sums = {"sum_standard": "batch_standard_shipping_fee", "sum_total": "batch_total_shipping_fee"}
-    batch = ranked.select(
-        *[c for c in single.columns if c in ranked.columns],
-        F.when(first, F.col("amount")).alias("filtered_amount"),
-        *[F.when(first, F.col(total)).alias(name) for total, name in sums.items()],
-        _share(F.col("sum_abs_total") - F.abs("amount"), F.col("sum_abs_standard")).alias("final_rate"),
+    first = F.col("rank") == 1
+    batch_rate = _share(F.col("sum_abs_total") - F.abs("amount"), F.col("sum_abs_standard"))
+    shown = ranked.withColumns(
+        {
+            "batch_rank": F.when(in_batch, F.col("rank")),
+            "filtered_amount": F.when(~in_batch | first, F.col("amount")),
+            "discount_rate": F.when(in_batch, batch_rate).otherwise(F.abs("discount_rate")),
+            **{
+                f"batch_{fee}": F.when(~in_batch, F.col(fee)).when(first, F.col(total))
+                for total, fee in (("sum_standard", "standard_shipping_fee"), ("sum_total", "total_shipping_fee"))
+            },
+        }
     )
-    both = single.unionByName(batch).drop("discount_rate", "oo_waybill_no")
-    return both.withColumnRenamed("final_rate", "discount_rate").select(*TRANSACTION_COLUMNS)
+    return shown.select(*TRANSACTION_COLUMNS)
 
 
 def wallet_net(transactions: DataFrame) -> DataFrame:

@@ -78,11 +78,11 @@ def test_lookup_refuses_to_hide_a_column(spark):
 def test_tier_lookup_bounds_gaps_overlaps_and_far_values(spark):
     tiers = spark.createDataFrame(
         [(Decimal(low), Decimal(high), name) for low, high, name in (
-            ("0", "1", "A"), ("1", "2.5", "B"), ("4", "300", "C"), ("280.5", "900", "D"), ("-5", "-1", "E"), ("9", "8", "F"),
+            ("0", "1", "A"), ("1", "2.5", "B"), ("4", "300", "C"), ("280.5", "900", "D"), ("70000.5", "9000000", "G"), ("-5", "-1", "E"), ("9", "8", "F"),
         )],
         "Bottom decimal(18,4), Up decimal(18,4), name string",
     )
-    weights = ["0", "1", "1.5", "2.5", "2.6", "4", "256", "257", "290", "899.9", "901", "-2", None]
+    weights = ["0", "1", "1.5", "2.5", "2.6", "4", "256", "257", "290", "899.9", "901", "70000.4", "70000.5", "9000000", "-2", None]
     df = spark.createDataFrame([(w,) for w in weights], "w string").withColumn("w", amount("w"))
     got = defaultdict(set)
     for w, name in tier_lookup(df, tiers, "w", {"name": "name"}).collect():
@@ -94,6 +94,7 @@ def test_tier_lookup_bounds_gaps_overlaps_and_far_values(spark):
     assert got["4"] == {"C"}
     assert {k: v for k, v in got.items() if k and k.startswith(("25", "2.56"))}
     assert got["290"] == {"C", "D"} and got["899.9"] == {"D"} and got["901"] == {None}
+    assert got["70000.4"] == {None} and got["70000.5"] == {"G"} and got["9000000"] == {"G"}
     assert got["-2"] == {"E"} and got[None] == {None}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from parcelledger.operators import latest_by, on_days, ranked_with_totals, recent, tier_lookup
-from parcelledger.plans import billing, oms
+from parcelledger.plans import billing, oms, region
 from parcelledger.sources import scratch_dir
 from parcelledger.sources.sample import BILLING, FINANCE, sample_tables, view
 
@@ -92,6 +92,29 @@ def test_extract_joins_facts_by_waybill_only(spark, small):
     assert len([s for s in spreads if s.startswith("waybill_no#") and len(s.split("#")) == 2]) <= 2, spreads
 
 
+def _spreads(text: str) -> list[str]:
+    return [line.split("hashpartitioning(")[1] for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_net_off_rows_are_spread_by_waybill_alone(spark, small):
+    tables = sample_tables(spark, MEDIUM, FINANCE)
+    spreads = _spreads(_at_scale(spark, lambda: region.net_by_region(tables)))
+    # The versions of waybills, two dimensions, their sellers, and the net-off rows once.
+    assert len(spreads) == 5 and not [s for s in spreads if "net_shipping_fee" in s], spreads
+
+
+def test_bills_are_spread_by_id_alone(spark, small):
+    spreads = _spreads(_at_scale(spark, lambda: queries()["va_monitoring"](spark, small)))
+    assert len([s for s in spreads if s.startswith("id#")]) == 1, spreads
+    assert not [s for s in spreads if "Nama_TH" in s or "Total_Nominal" in s], spreads
+
+
+def test_wallet_reads_each_fact_once(spark, small):
+    text = plan(queries()["wallet_transactions"](spark, small))
+    # Payments and their owners and states for both kinds; each kind's waybills; orders, waybills and returns once.
+    assert text.count("FileScan") <= 9, text
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_no_cartesian_or_python(name, spark, small):
     if name.startswith("sink_") or name == "wallet_transactions_sliced":
