@@ -37,6 +37,27 @@ def runs(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:
+    """Tables that hold all rows of their keys, of about a batch each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if held and keys[0] != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(starts):
+            yield pa.Table.from_batches([*held, batch.slice(0, int(starts[-1]))])
+            held, batch = [], batch.slice(int(starts[-1]))
+        held.append(batch)
+        last = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def labels_of(linked: np.ndarray) -> np.ndarray:
     """For a symmetric boolean matrix, the smallest member number of each row's connected group."""
     label = np.arange(len(linked))

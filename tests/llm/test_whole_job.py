@@ -2,10 +2,67 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from parcelledger.llm import line_dedup
+from parcelledger.llm.common import table
 
 
 def test_whole_words_have_no_weight_of_their_own():
     """The two lines have the same pieces in other words; one changed letter must not count as a changed word."""
     a, b = line_dedup.Hasher().hash(["xabcy zabcw", "xabcw zabcy"])
     assert a == b
+
+
+def changed(line: str, n: int, rng: np.random.Generator) -> str:
+    """The line with n of its letters replaced."""
+    out = list(line)
+    for i in rng.choice([i for i, c in enumerate(out) if c != " "], n, replace=False):
+        out[i] = "q" if out[i] != "q" else "z"
+    return "".join(out)
+
+
+def test_similar_lines_are_linked_whatever_their_hashes(spark, small):
+    """Measured against edit similarity alone, by length of the line and number of changed letters."""
+    texts = [r.text or "" for r in table(spark, small, "documents").select("text").collect()]
+    kinds = sorted({norm for text in texts for line in text.split("\n") if (norm := line_dedup.normalised(line))})
+    rng, rows, cases = np.random.default_rng(5), [], {}
+    for low, high in ((20, 40), (40, 80), (80, 160), (160, 400)):
+        for share in (0, 0.05):
+            for line in [x for x in kinds if low <= len(x) < high][:60]:
+                copy = changed(line, max(1, int(share * len(line))), rng)
+                # No other line is like it: each starts with a word of its own that both copies share.
+                start = "".join(rng.choice(list("etaoinsh"), 4))
+                cases[len(rows) + 1] = low, share
+                rows += [(len(rows), f"{start} {line}"), (len(rows) + 1, f"{start} {copy}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dropped = {r.doc_id for r in line_dedup.line_groups(docs).filter("dropped").collect()}
+    for case in set(cases.values()):
+        ids = [i for i, c in cases.items() if c == case]
+        assert np.mean([i in dropped for i in ids]) >= 0.85, case
+    assert np.mean([i in dropped for i in cases]) >= 0.9
+
+
+def test_line_groups_by_edit_similarity_alone(spark, small):
+    """All pairs of lines of the small sample are compared, without a hash before."""
+    docs = table(spark, small, "documents")
+    first, lines = {}, []
+    for r in sorted(docs.select("doc_id", "text").collect()):
+        for n, line in enumerate((r.text or "").split("\n")):
+            if norm := line_dedup.normalised(line):
+                lines.append((r.doc_id, n, norm))
+                first.setdefault(norm, (r.doc_id, n))
+    kinds = sorted(first, key=len)
+    group, bags = {x: x for x in kinds}, line_dedup._bags(kinds)
+    length = np.array([len(x) for x in kinds])
+    for a, line in enumerate(kinds):
+        likely = (length[a] - length[:a] <= length[a] // 10) & (np.abs(bags[:a] - bags[a]).sum(axis=1) <= 2 * (length[a] // 10))
+        for b in np.flatnonzero(likely):
+            if line_dedup.similar(line, kinds[b]):
+                old, new = group[kinds[b]], group[line]
+                group = {x: new if g == old else g for x, g in group.items()}
+    stays = {}
+    for norm, place in first.items():
+        stays[group[norm]] = min(place, stays.get(group[norm], place))
+    want = {(i, n) for i, n, norm in lines if stays[group[norm]] != (i, n)}
+    assert want == {(r.doc_id, r.line) for r in line_dedup.line_groups(docs).filter("dropped").collect()}
