@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from parcelledger.llm import line_dedup
+from parcelledger.llm import line_dedup, runs
 from parcelledger.llm.common import table
 
 
@@ -66,3 +66,18 @@ def test_line_groups_by_edit_similarity_alone(spark, small):
         stays[group[norm]] = min(place, stays.get(group[norm], place))
     want = {(i, n) for i, n, norm in lines if stays[group[norm]] != (i, n)}
     assert want == {(r.doc_id, r.line) for r in line_dedup.line_groups(docs).filter("dropped").collect()}
+
+
+def test_no_task_holds_a_large_bucket_of_lines(spark, monkeypatch):
+    """A family of alike lines is cut into tiles before it is searched, and is still one group."""
+    monkeypatch.setattr(runs, "TILE", 16)
+    monkeypatch.setattr(line_dedup, "TILE", 16)
+    base = " ".join(f"w{chr(97 + i)}rd{chr(97 + i % 7)}" for i in range(26))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"{base} {letters[i % 26]}{letters[i // 26]}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kinds = line_dedup.lines_of(docs).withColumnRenamed("norm", "id")
+    assert line_dedup.meetings(kinds).groupBy("key").count().agg({"count": "max"}).first()[0] > 100
+    assert line_dedup.tasks(kinds).groupBy("key").count().agg({"count": "max"}).first()[0] < 70
+    got = line_dedup.line_groups(docs).collect()
+    assert len(got) == 150 and {r.doc_id for r in got if not r.dropped} == {0}
