@@ -27,7 +27,7 @@ LISTED = (
     ("net", "/fr/", "block"),
 )
 LABEL = "=block"
-SUPPORT, CONFIDENCE, LIFT, LONGEST = 0.002, 0.6, 1.2, 5
+SUPPORT, CONFIDENCE, LIFT = 0.002, 0.6, 1.2
 #: A token set must also occur in so many labelled pages, which matters where few are labelled.
 LEAST_PAGES = 20
 RULE = "tokens array<string>, support double, confidence double, lift double, rule_id string"
@@ -67,7 +67,7 @@ def mine(labelled: DataFrame) -> DataFrame:
     support = max(SUPPORT, LEAST_PAGES / n)
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(baskets)
     found = model.associationRules.filter(
-        (F.col("consequent") == F.array(F.lit(LABEL))) & (F.col("lift") >= LIFT) & (F.size("antecedent") <= LONGEST)
+        (F.col("consequent") == F.array(F.lit(LABEL))) & (F.col("lift") >= LIFT)
     ).select(F.array_sort("antecedent").alias("tokens"), "support", "confidence", "lift")
     named = found.withColumn("rule_id", F.array_join("tokens", " "))
     # A rule is looked up without each of its tokens in turn: a more general rule of no less confidence makes it idle.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from parcelledger.llm import line_dedup, runs
+from parcelledger.llm import line_dedup, runs, url_rules
 from parcelledger.llm.common import table
 
 
@@ -81,3 +81,11 @@ def test_no_task_holds_a_large_bucket_of_lines(spark, monkeypatch):
     assert line_dedup.tasks(kinds).groupBy("key").count().agg({"count": "max"}).first()[0] < 70
     got = line_dedup.line_groups(docs).collect()
     assert len(got) == 150 and {r.doc_id for r in got if not r.dropped} == {0}
+
+
+def test_url_rules_of_six_tokens(spark):
+    """Only all six tokens together go along with the label; each five of them are as often allowed."""
+    tokens = [f"p:{c}" for c in "abcdef"]
+    rows = [(tokens, True)] * 40 + [([t for t in tokens if t != out], False) for out in tokens for _ in range(60)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
+    assert [r.tokens for r in rules] == [tokens]
