@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from parcelledger.registry.rules import SCHEME_START
 from parcelledger.sources import append_load, export_csv, replace_table, scratch_dir, write_clustered
 from parcelledger.sources.sample import BILLING, FINANCE, JOURNEY, MONITORING, sample_tables
 
+LAST_MONTHS = date(2001, 6, 1)
 JOURNEY_ROWS = ", ".join(["*", "CAST(event_time AS DATE) AS event_day"])
 
 
@@ -27,6 +28,18 @@ def _journey(s: Sample, window: journey.Window) -> DataFrame:
     return R._journey(s, window).withColumn("event_day", F.col("event_time").cast("date"))
 
 
+@query(f"SELECT *, CAST(date_trunc('month', pod_date) AS DATE) AS pod_month FROM ({R.oms_aggregate_sql(R.HISTORY)})")
+def sink_append_days(s: Sample) -> DataFrame:
+    """Load the history by month, then its last months again: nothing doubles."""
+    path, source = scratch_dir(s.spark, "daily"), scratch_dir(s.spark, "daily-rows")
+    _daily(s, R.HISTORY).withColumn("pod_month", F.trunc("pod_date", "month")).write.parquet(source)
+    rows = s.spark.read.parquet(source)
+    months = sorted(r.pod_month for r in rows.select("pod_month").distinct().collect())
+    for month in [*months, *[m for m in months if m >= LAST_MONTHS]]:
+        append_load(rows.filter(F.col("pod_month") == month), path, month, ["pod_date", "waybill_source", "cod_flag"])
+    return s.spark.read.parquet(path).drop("load_day")
+
+
 LOADS = [FACTS_AS_OF - timedelta(days=n) for n in (2, 1, 0)]
 LOADS_SQL = " UNION ALL ".join(
     f"SELECT *, DATE '{day - timedelta(days=1)}' AS load_day FROM ({B.billing_query(1).replace(B.DAY, f"DATE '{day}'")})"
