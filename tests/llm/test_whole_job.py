@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from parcelledger.llm import line_dedup, runs, url_rules
+from parcelledger.llm import line_dedup, runs, toxicity, url_rules
 from parcelledger.llm.common import table
 
 
@@ -89,3 +89,11 @@ def test_url_rules_of_six_tokens(spark):
     rows = [(tokens, True)] * 40 + [([t for t in tokens if t != out], False) for out in tokens for _ in range(60)]
     rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean")).collect()
     assert [r.tokens for r in rules] == [tokens]
+
+
+def test_a_phrase_is_whole_in_some_window():
+    """Nine words, wherever they stand; the states are as wide as when the accuracy was first measured."""
+    for n in range(9, 200):
+        starts = list(toxicity.window_starts(n))
+        assert all(any(a <= at and at + 9 <= a + toxicity.WINDOW for a in starts) for at in range(n - 8))
+    assert toxicity.HIDDEN >= 12
