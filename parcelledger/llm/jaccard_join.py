@@ -12,7 +12,8 @@ documents with a partner are then brought together under that bucket and their e
 reports for each document the number of partners and its group, never the pairs.
 
 Words are lower-case and separated by white space. A text of one to four words is one shingle. Null or empty texts have no
-shingles and no partner. Repeated rows are copies of each other. Rows without an identifier are returned without class.
+shingles and no partner. Repeated rows are copies of each other. A set goes by its digest, so rows without an identifier
+and rows that share one take part as any others; a class without any identifier has a null class_id.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def minimum_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(doc_id, content, hashes): content is the digest of the shingle set; both null for a text without words."""
+    """(doc_id, spot, content, hashes): content is the digest of the shingle set; both null for a text without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,11 +94,16 @@ def signatures(rows: DataFrame) -> DataFrame:
                 content.append(xxhash.xxh128_digest(values.tobytes()) if len(values) else None)
                 hashes.append(minimum_hashes(values) if len(values) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(content, pa.binary()), pa.array(hashes, pa.list_(pa.int32()))],
-                ["doc_id", "content", "hashes"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("spot"),
+                    pa.array(content, pa.binary()),
+                    pa.array(hashes, pa.list_(pa.int32())),
+                ],
+                ["doc_id", "spot", "content", "hashes"],
             )
 
-    return rows.mapInArrow(sign, "doc_id long, content binary, hashes array<int>")
+    return rows.mapInArrow(sign, "doc_id long, spot long, content binary, hashes array<int>")
 
 
 def _branch(path: Column, pick: Column) -> Column:
@@ -176,7 +182,7 @@ def overlap(sets: list[np.ndarray]) -> np.ndarray:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for task in runs(batches):
         # A row that stands twice in the table came twice.
-        task = task.take(np.unique(task["id"].to_numpy(), return_index=True)[1])
+        task = task.take(np.unique(task["id"].to_numpy(zero_copy_only=False), return_index=True)[1])
         if task.num_rows < 2:
             continue
         sets = [np.frombuffer(x, np.uint64) for x in task["content"].to_pylist()]
@@ -185,10 +191,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         linked = (common >= SIMILAR * (sizes[:, None] + sizes[None, :] - common) - 1e-3) & _examined(task)
         weight = task["weight"].to_numpy().astype(np.float64)
         links = (linked @ weight).astype(np.int64)
-        ids = task["id"].to_numpy()
-        chosen = links > 0
+        chosen = np.flatnonzero(links > 0)
+        near = task["id"].take(labels_of(linked)[chosen]).combine_chunks()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[chosen]), pa.array(ids[labels_of(linked)][chosen]), pa.array(links[chosen])], ["id", "near", "links"]
+            [task["id"].take(chosen).combine_chunks(), near, pa.array(links[chosen])], ["id", "near", "links"]
         )
 
 
@@ -215,37 +221,51 @@ def jaccard_join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     connected by links, n_links the number of other documents of similarity SIMILAR or more.
     """
     forced_skew_join(docs.sparkSession)
-    rows = text_rows(docs)
+    rows = text_rows(docs).withColumn("spot", F.xxhash64("text"))
     signed = stored(signatures(rows), "join-signatures")
+    # Of a set's rows the first by identifier brings the text; n of them are alike.
+    alike = signed.filter("content is not null").groupBy("content", "doc_id", "spot").agg(
+        F.count(F.lit(1)).alias("n"), F.first("hashes").alias("hashes")
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("name"), "spot", "n")
     sets = stored(
-        signed.filter("content is not null and doc_id is not null")
-        .groupBy("content")
-        .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("hashes").alias("hashes")),
+        alike.groupBy(F.col("content").alias("id")).agg(
+            F.min(order).alias("first"), F.sum("n").alias("weight"), F.first("hashes").alias("hashes")
+        ),
         "join-sets",
     )
     found = stored(leaves(sets, runs_needed(recall)).distinct(), "join-leaves")
     own = stored(found.groupBy("id").agg(F.collect_set("path").alias("leaves")), "join-paths")
 
     placed = tiled(found.join(own, "id").join(sets.select("id", "hashes"), "id"))
-    names = "id long, key long, path long, tile int, left int, right int"
+    names = "id binary, key long, path long, tile int, left int, right int"
     short = stored(by_key(placed).mapInArrow(_shortlist, ", ".join(f"`{x.split()[0]}` {x.split()[1]}" for x in names.split(", "))), "join-short")
 
     wanted = short.groupBy("id").agg(F.collect_list(F.struct("key", "path", "tile", "left", "right")).alias("tasks"))
-    wanted = wanted.join(own, "id").join(sets.select("id", "weight", F.col("content").alias("digest")), "id")
-    texts = rows.join(wanted, rows["doc_id"] == wanted["id"]).select("id", "weight", "leaves", "tasks", "digest", "text")
-    spread = _with_sets(texts).select("id", "weight", "leaves", "content", F.explode("tasks").alias("t"))
+    wanted = stored(
+        wanted.join(own, "id").join(sets.select("id", "weight", "first", F.col("id").alias("digest")), "id"), "join-wanted"
+    )
+
+    def texts(chosen: DataFrame) -> DataFrame:
+        here = rows["doc_id"].eqNullSafe(chosen["first.name"]) & (rows["spot"] == chosen["first.spot"])
+        return _with_sets(rows.join(chosen, here).select("id", "weight", "leaves", "tasks", "digest", "text"))
+
+    # Rows alike in identifier and text would all come; one of them is enough.
+    held = texts(wanted.filter("first.n = 1")).unionByName(texts(wanted.filter("first.n > 1")).dropDuplicates(["id"]))
+    spread = held.select("id", "weight", "leaves", "content", F.explode("tasks").alias("t"))
     spread = spread.select("id", "weight", "leaves", "content", "t.*")
-    verified = stored(by_key(spread).mapInArrow(_verify, "id long, near long, links long"), "join-links")
+    verified = stored(by_key(spread).mapInArrow(_verify, "id binary, near binary, links long"), "join-links")
 
     links = verified.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(verified.select(F.col("id").alias("a"), F.col("near").alias("b")), "join-groups")
     kinds = sets.join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
     kinds = kinds.select(
-        "content",
-        F.coalesce("root", "id").alias("class_id"),
-        F.col("id").alias("copy_of"),
+        F.col("id").alias("content"),
+        F.coalesce("root", "id").alias("root"),
+        F.col("first.name").alias("copy_of"),
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
     )
+    kinds = kinds.join(kinds.groupBy("root").agg(F.min("copy_of").alias("class_id")), "root")
     return signed.join(kinds, "content", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),

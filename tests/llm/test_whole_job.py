@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from parcelledger.llm import line_dedup, runs, toxicity, url_rules
+from parcelledger.llm import jaccard_join, line_dedup, runs, toxicity, url_rules
 from parcelledger.llm.common import table
 
 
@@ -97,3 +97,16 @@ def test_a_phrase_is_whole_in_some_window():
         starts = list(toxicity.window_starts(n))
         assert all(any(a <= at and at + 9 <= a + toxicity.WINDOW for a in starts) for at in range(n - 8))
     assert toxicity.HIDDEN >= 12
+
+
+def test_sets_go_by_their_content(spark):
+    """Near copies without an identifier, and two texts under one identifier, are linked as any others."""
+    one, two, three = (" ".join(f"{k}{i}" for i in range(100)) for k in "abc")
+    rows = [
+        (None, one + " x"), (None, one + " x"), (None, one + " y"), (1, one), (7, two), (7, three), (8, two + " x"), (9, three + " x"),
+        (None, "alone"), (None, None),
+    ]
+    got = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in got) == [
+        (0, 0, 0), (0, 0, 0), (0, 1, 3), (0, 1, 3), (0, 1, 3), (1, 1, 3), (7, 7, 1), (7, 7, 1), (8, 7, 1), (9, 7, 1),
+    ]
