@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelledger.llm.byte_bpe import digests, encode_texts
 from parcelledger.llm.common import stored, table
@@ -12,32 +13,56 @@ from parcelledger.llm.exact_dedup import exact_dedup
 from parcelledger.llm.jaccard_join import jaccard_join
 from parcelledger.llm.toxicity import toxicity
 
+#: Number of a row within a stage.
+ROW = "stage_row"
 
-def _matching(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose identifier is (left_semi) or is not (left_anti) among ``ids``; null counts as a value."""
-    named = ids.select("doc_id").distinct().withColumnRenamed("doc_id", "named")
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["named"]), how)
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written so that it stays; identifiers may be missing or repeated."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """Rows as an operator judges them: under their number in place of the identifier."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, judged: DataFrame) -> DataFrame:
+    gone = judged.select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
+
+
+def _first_of(rows: DataFrame, judged: DataFrame, group: str, *order: Column) -> DataFrame:
+    """Of the rows of each group the first by ``order``, then by identifier, those without one last."""
+    place = F.struct(*order, F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW).alias("row"))
+    groups = judged.select(F.col("doc_id").alias(ROW), F.col(group).alias("group"))
+    best = rows.select(ROW, place.alias("place")).join(groups, ROW).groupBy("group").agg(F.min("place").alias("place"))
+    return rows.join(best.select(F.col("place.row").alias(ROW)), ROW, "left_semi").drop(ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents that the network rejects go."""
-    judged = toxicity(docs, table(spark, sf_dir, "labels"))
-    return _matching(docs, judged.filter("predicted = 1"), "left_anti")
+    rows = _numbered(docs)
+    judged = toxicity(_by_row(rows), table(spark, sf_dir, "labels"), fit_on=docs)
+    return _without(rows, judged.filter("predicted = 1"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of equal texts one row stays."""
-    return _matching(docs, exact_dedup(docs).filter("kept"), "left_semi")
+    """Operator 10: of equal texts one row stays, the longest."""
+    rows = _numbered(docs)
+    return _first_of(rows, exact_dedup(_by_row(rows)), "keep_id", -F.char_length(F.coalesce("text", F.lit(""))))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of each group of near copies the smallest identifier stays."""
-    return _matching(docs, jaccard_join(docs).filter("doc_id <=> class_id"), "left_semi")
+    rows = _numbered(docs)
+    return _first_of(rows, jaccard_join(_by_row(rows)), "class_id")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that hold a benchmark passage go."""
-    return _matching(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    rows = _numbered(docs)
+    return _without(rows, find_leaks(_by_row(rows), table(spark, sf_dir, "benchmark")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
+import corpus_pipeline
 from parcelledger.llm import jaccard_join, line_dedup, runs, toxicity, url_rules
 from parcelledger.llm.common import table
 
@@ -110,3 +111,21 @@ def test_sets_go_by_their_content(spark):
     assert sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in got) == [
         (0, 0, 0), (0, 0, 0), (0, 1, 3), (0, 1, 3), (0, 1, 3), (1, 1, 3), (7, 7, 1), (7, 7, 1), (8, 7, 1), (9, 7, 1),
     ]
+
+
+def test_stages_judge_rows_not_identifiers(spark, small):
+    """Rows without an identifier, and texts that share one, stay or go each for itself."""
+    one, two, three = (" ".join(f"{k}{i}" for i in range(100)) for k in "abc")
+    leak = table(spark, small, "benchmark").filter("length(text) > 60").first().text
+
+    def left(stage, rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(((r.doc_id or 0, r.text) for r in stage(spark, docs, small).collect()), key=str)
+
+    rows = [(None, one), (None, one), (None, two), (7, two), (7, three)]
+    assert left(corpus_pipeline.drop_copies, rows) == [(0, one), (7, two), (7, three)]
+    rows = [(None, one), (None, one + " x"), (7, two), (7, three), (8, three + " x")]
+    got = left(corpus_pipeline.drop_near_copies, rows)
+    assert got[1:] == [(7, two), (7, three)] and got[0][0] == 0 and got[0][1].startswith(one)
+    rows = [(None, leak), (None, one), (7, leak), (7, two)]
+    assert left(corpus_pipeline.drop_leaks, rows) == [(0, one), (7, two)]
