@@ -5,6 +5,7 @@ from __future__ import annotations
 from parcelledger.llm import (
     byte_bpe,
     decontamination,
+    divergence,
     exact_dedup,
     jaccard_join,
     line_dedup,
@@ -13,6 +14,7 @@ from parcelledger.llm import (
     token_counts,
     toxicity,
     url_rules,
+    whitening,
 )
 
 QUERIES = {
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_secrets": secrets.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op12_source_divergence": divergence.op12,
+    "op13_whitening": whitening.op13,
 }
 
-ORACLES = {"op10_exact_dedup": exact_dedup.SQL}
+ORACLES = {"op10_exact_dedup": exact_dedup.SQL, "op12_source_divergence": divergence.SQL}

@@ -57,7 +57,9 @@ def sums_of(vectors: DataFrame) -> tuple[int, list[int]]:
         n, total = 0, None
         for batch in batches:
             if batch.num_rows:
-                part = _matrix(batch).sum(axis=0, dtype=object)
+                x = _matrix(batch)
+                small = int(np.abs(x).max()) * len(x) < 1 << 62
+                part = x.sum(axis=0).astype(object) if small else x.sum(axis=0, dtype=object)
                 n, total = n + batch.num_rows, part if total is None else total + part
         if n:
             yield pa.RecordBatch.from_arrays(
