@@ -3,7 +3,7 @@
 from parcelledger.operators.aggregate import concat_notes, sum_when
 from parcelledger.operators.dedup import earliest_by, latest_by, pick_first
 from parcelledger.operators.filters import on_days, recent, recent_months, since
-from parcelledger.operators.hot_groups import ranked_with_totals
+from parcelledger.operators.hot_groups import ranked_with_totals, running_sums
 from parcelledger.operators.lookups import decode, fallback, lookup, tier_lookup
 from parcelledger.operators.quality import duplicate_keys, reconcile
 from parcelledger.operators.upsert import merge_upsert, merged_rows
@@ -24,6 +24,7 @@ __all__ = [
     "recent",
     "recent_months",
     "reconcile",
+    "running_sums",
     "since",
     "sum_when",
     "tier_lookup",

@@ -1,17 +1,24 @@
-"""Keyed upsert into a partitioned Parquet table."""
+"""Keyed upsert into a table of versions."""
 
 from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelledger.operators.quality import duplicate_keys
-from parcelledger.sources.scratch import use_checkpoint_dir
+from parcelledger.sources.scratch import scratch_dir
+from parcelledger.sources.versions import (
+    applied_batches,
+    latest_version,
+    manifest,
+    numbered_values,
+    publish,
+    read_folders,
+    write_parts,
+)
 
 POLICIES = ("replace", "coalesce")
-PARTITION_TYPES = ("date", "tinyint", "smallint", "int", "bigint")
 
 
 def merged_rows(target: DataFrame, source: DataFrame, key: str, policy: str = "replace") -> DataFrame:
@@ -36,72 +43,37 @@ def merged_rows(target: DataFrame, source: DataFrame, key: str, policy: str = "r
 
 
 def merge_upsert(
-    target_path: str, source: DataFrame, key: str, partition: str, policy: str = "replace"
+    target_path: str, source: DataFrame, key: str, partition: str, policy: str = "replace", batch: str | None = None
 ) -> list[Any]:
-    """Upsert ``source`` into the table at ``target_path`` and return the rewritten partitions.
+    """Upsert ``source`` into the table of versions at ``target_path`` and return the partition values it touched.
 
-    Only partitions that receive a row or hold a matched key are rewritten, so a daily
-    delta costs a scan of the key column plus those partitions. A key whose partition
-    value changed leaves its old partition; a partition left without rows is removed.
-    The new files replace the old ones at job commit, and running the same upsert again
-    gives the same table. Duplicate source keys, and a partition column that is no date
-    or whole number, are errors, raised before anything is written.
+    Only partitions that receive a row or hold a matched key are rewritten, into new folders, so a daily delta costs a
+    scan of the key column plus those partitions. A key whose partition value changed leaves its old partition; a
+    partition left without rows is in the new version no more. Readers see the old version whole until the new one is
+    published by one rename. Duplicate source keys are an error, raised before anything is written. A ``batch`` that the
+    table has published before is skipped; the same upsert without one gives the same table again.
     """
     spark = source.sparkSession
-    kind = dict(spark.read.parquet(target_path).dtypes).get(partition)
-    if kind not in PARTITION_TYPES:
-        # Folder names of other types are escaped: an emptied one would not be found again.
-        raise TypeError(f"partition the table by a date or an integer column, not by {partition}: {kind}")
-    use_checkpoint_dir(spark)
-    source = source.checkpoint()
-    if not duplicate_keys(source, [key]).isEmpty():
+    if batch is not None and not applied_batches(spark, target_path).filter(F.col("batch") == batch).isEmpty():
+        return []
+    staged = scratch_dir(spark, "upsert-source")
+    source.write.parquet(staged)
+    source = spark.read.schema(source.schema).parquet(staged)
+    if not source.groupBy(key).count().filter("count > 1").isEmpty():
         raise ValueError(f"the upsert source has several rows for one {key}")
 
-    target = spark.read.parquet(target_path)
-    held = target.join(source.select(key), key, "left_semi").select(partition).distinct()
-    received = _values(source.select(partition).distinct())
-    touched = received | _values(held)
+    number = latest_version(spark, target_path)
+    before = manifest(spark, target_path, number)
+    everything = read_folders(spark, target_path, sorted(r["folder"] for r in before.select("folder").collect()))
+    held = everything.join(source.select(key), key, "left_semi").select(partition)
+    parts = numbered_values(held.union(source.select(partition)).distinct().withColumnRenamed(partition, "value"))
+    touched = [r["value"] for r in parts.orderBy("__part").collect()]
     if not touched:
         return []
 
-    region = target.filter(_one_of(partition, touched))
-    left_alone = touched - received
-    emptied: set[Any] = set()
-    if left_alone:
-        rest = region.filter(_one_of(partition, left_alone))
-        kept = rest.join(source.select(key), key, "left_anti").select(partition).distinct()
-        emptied = left_alone - _values(kept)
-
-    result = merged_rows(region, source, key, policy)
-    (
-        result.repartitionByRange(partition, key)
-        .sortWithinPartitions(partition, key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(target_path)
-    )
-    for value in emptied:
-        _remove_folder(spark, f"{target_path.rstrip('/')}/{partition}={_folder_value(value)}")
-    return sorted(touched, key=lambda v: (v is not None, v))
-
-
-def _values(df: DataFrame) -> set[Any]:
-    # One value per table folder: as small as the folder listing the scan itself needs.
-    return {row[0] for row in df.collect()}
-
-
-def _one_of(column: str, values: set[Any]) -> Column:
-    present = [v for v in values if v is not None]
-    match = F.col(column).isin(present) if present else F.lit(False)
-    return match | F.col(column).isNull() if None in values else match
-
-
-def _folder_value(value: Any) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-
-
-def _remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
-        raise OSError(f"{folder} should have been emptied, but is not there")
+    met = parts["value"].eqNullSafe(before["value"])
+    old = before.join(parts, met, "left_semi").select("folder").collect()
+    region = read_folders(spark, target_path, sorted(r["folder"] for r in old))
+    new = write_parts(merged_rows(region, source, key, policy), target_path, partition, [key], parts)
+    publish(before.join(parts, met, "left_anti").unionByName(new), target_path, number + 1, batch)
+    return touched

@@ -173,32 +173,26 @@ def paid_in_batches(tables: Tables) -> DataFrame:
     )
 
 
-def _batch_sizes(tables: Tables) -> DataFrame:
-    """Rows each batch can have: its payments times its waybills, from two narrow scans."""
-    payments = tables["wallet_history"].filter(F.col("tx_no").isNotNull() & (F.col("batch_id") != ""))
-    paid = payments.groupBy("batch_id").agg(F.count(F.lit(1)).alias("payments"))
-    held = tables["vip_order"].groupBy("batch_id").agg(F.count(F.lit(1)).alias("waybills"))
-    return paid.join(held, "batch_id").select("batch_id", (F.col("payments") * F.col("waybills")).alias("count"))
+def _batch_pairs(tables: Tables) -> DataFrame:
+    """Batches and their waybills, from one narrow scan: what ranked rows are cut by."""
+    return tables["vip_order"].filter(F.col("batch_id") != "").select(F.col("batch_id").alias("g"), F.col("waybill_no").alias("o"))
 
 
 def wallet_transactions(
     tables: Tables,
     floor: date = V.WALLET_HISTORY_START,
     tz: str = JAKARTA,
-    hot_batch_rows: int = 5_000_000,
 ) -> DataFrame:
     """All wallet rows with the batch amount on the first row of each batch.
 
     Both kinds of payments meet the fees in the same joins, so each fact is read and spread
-    once. Single payments share the empty batch id and would form one giant group, so each
-    gets a group of its own; what the windows say about it is not used.
+    once. Single payments share the empty batch id; they are spread by their values and not ranked.
     """
     paid = _with_fees(paid_singly(tables).unionByName(paid_in_batches(tables)), tables, floor, tz)
     in_batch = F.col("batch_id") != ""
-    spare = F.when(in_batch, F.lit(0)).otherwise(F.xxhash64("tx_no", "oo_waybill_no"))
     ranked = ranked_with_totals(
-        paid.withColumn("batch", F.struct("batch_id", spare.alias("spare"))),
-        group="batch",
+        paid,
+        group="batch_id",
         order="oo_waybill_no",
         totals={
             "sum_standard": F.col("standard_shipping_fee"),
@@ -207,8 +201,8 @@ def wallet_transactions(
             "sum_abs_total": F.abs("total_shipping_fee"),
         },
         rank="rank",
-        hot_rows=hot_batch_rows,
-        sizes=_batch_sizes(tables),
+        where=in_batch,
+        bounds_from=_batch_pairs(tables),
     )
     first = F.col("rank") == 1
     batch_rate = _share(F.col("sum_abs_total") - F.abs("amount"), F.col("sum_abs_standard"))

@@ -478,9 +478,8 @@ def _batches(s: Sample) -> DataFrame:
 def win_rank_guarded(s: Sample) -> DataFrame:
     # Rows without a batch have no rank, so only batch rows are ranked.
     rows = _batches(s).select("o_orderkey", "batch_id", F.col("o_orderdate").cast("date").alias("day"))
-    ranked = ranked_with_totals(rows.filter(F.col("batch_id") != ""), "batch_id", "day", {}, "batch_rank")
-    rest = rows.filter((F.col("batch_id") == "") | F.col("batch_id").isNull())
-    return ranked.unionByName(rest.withColumn("batch_rank", F.lit(None).cast("long"))).drop("day")
+    named = F.coalesce(F.col("batch_id") != "", F.lit(False))
+    return ranked_with_totals(rows, "batch_id", "day", {}, "batch_rank", where=named).drop("day")
 
 
 @query(f"""SELECT o_orderkey, CAST(SUM(total) OVER (PARTITION BY batch_id) AS DOUBLE) AS batch_total
@@ -506,10 +505,9 @@ def win_ratio_abs(s: Sample) -> DataFrame:
     CASE WHEN batch_id <> '' THEN RANK() OVER (PARTITION BY batch_id ORDER BY o_orderkey) END AS r FROM ({_BATCHES}))""")
 def win_first_only(s: Sample) -> DataFrame:
     rows = _batches(s).select("o_orderkey", "batch_id", "total")
-    ranked = ranked_with_totals(rows.filter(F.col("batch_id") != ""), "batch_id", "o_orderkey", {}, "place")
-    rest = rows.filter((F.col("batch_id") == "") | F.col("batch_id").isNull())
-    both = ranked.unionByName(rest.withColumn("place", F.lit(None).cast("long")))
-    return both.select("o_orderkey", F.when(F.col("place") > 1, None).otherwise(F.col("total")).alias("kept"))
+    named = F.coalesce(F.col("batch_id") != "", F.lit(False))
+    ranked = ranked_with_totals(rows, "batch_id", "o_orderkey", {}, "place", where=named)
+    return ranked.select("o_orderkey", F.when(F.col("place") > 1, None).otherwise(F.col("total")).alias("kept"))
 
 
 # --- sets -------------------------------------------------------------------------------

@@ -667,5 +667,5 @@ def wallet_net(s: Sample) -> DataFrame:
 
 @query(with_views(WALLET_VIEWS, f""", {TRANSACTIONS_SQL} {WALLET_SHOWN} FROM transactions"""))
 def wallet_transactions_sliced(s: Sample) -> DataFrame:
-    """The same result when batches are too large for one task each."""
-    return wallet.wallet_transactions(_tables(s, sample.WALLET), floor=WALLET_FLOOR, hot_batch_rows=8)
+    """The same rows; every batch is cut into slices, whatever its size."""
+    return wallet.wallet_transactions(_tables(s, sample.WALLET), floor=WALLET_FLOOR)

@@ -13,7 +13,15 @@ from parcelledger.registry import billing_sql as B
 from parcelledger.registry import reports as R
 from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query, with_views
 from parcelledger.registry.rules import SCHEME_START
-from parcelledger.sources import append_load, export_csv, replace_table, scratch_dir, write_clustered
+from parcelledger.sources import (
+    append_load,
+    create_version_table,
+    export_csv,
+    read_version,
+    replace_table,
+    scratch_dir,
+    write_clustered,
+)
 from parcelledger.sources.sample import BILLING, FINANCE, JOURNEY, MONITORING, sample_tables
 
 LAST_MONTHS = date(2001, 6, 1)
@@ -85,10 +93,9 @@ def sink_replace(s: Sample) -> DataFrame:
 def sink_upsert(s: Sample) -> DataFrame:
     """Daily delta merged into the stored journey mart."""
     path = scratch_dir(s.spark, "upsert")
-    write_clustered(_journey(s, journey.full_window(EVENTS_AS_OF)), path, "event_day", ["tracking_id", "source_hub"])
-    delta = _journey(s, journey.delta_window(EVENTS_AS_OF))
-    merge_upsert(path, delta, "tracking_id", "event_day")
-    return s.spark.read.parquet(path)
+    create_version_table(_journey(s, journey.full_window(EVENTS_AS_OF)), path, "event_day", ["tracking_id", "source_hub"])
+    merge_upsert(path, _journey(s, journey.delta_window(EVENTS_AS_OF)), "tracking_id", "event_day")
+    return read_version(s.spark, path)
 
 
 @query(R.oms_aggregate_sql(R.HISTORY))

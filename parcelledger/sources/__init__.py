@@ -8,11 +8,14 @@ from parcelledger.sources.sinks import (
     write_clustered,
 )
 from parcelledger.sources.tables import Tables
+from parcelledger.sources.versions import create_version_table, read_version
 
 __all__ = [
     "Tables",
     "append_load",
+    "create_version_table",
     "export_csv",
+    "read_version",
     "replace_table",
     "scratch_dir",
     "use_checkpoint_dir",

@@ -18,16 +18,18 @@ def start_upsert(
     checkpoint: str,
     policy: str = "replace",
     available_now: bool = True,
+    name: str = "changes",
 ) -> StreamingQuery:
-    """Feed a stream of changed rows into an existing table, one upsert per micro-batch.
+    """Feed a stream of changed rows into a table of versions, one version per micro-batch.
 
-    A batch may bring several versions of a key: the first under ``newest_first`` wins.
-    The upsert is idempotent, so a batch replayed after a failure changes nothing.
+    A batch may bring several versions of a key: the first under ``newest_first`` wins. Each version is published with
+    the stream's ``name`` and the number of its batch, so a batch replayed after a failure is skipped, also where the
+    table holds later changes from elsewhere.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            merge_upsert(target_path, pick_first(batch, [key], newest_first), key, partition, policy)
+            merge_upsert(target_path, pick_first(batch, [key], newest_first), key, partition, policy, f"{name}/{number}")
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

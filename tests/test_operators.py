@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 from collections import defaultdict
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parcelledger.functions import amount, months_before, utc_bound
@@ -22,9 +26,12 @@ from parcelledger.operators import (
     ranked_with_totals,
     recent,
     reconcile,
+    running_sums,
     tier_lookup,
 )
-from parcelledger.sources import Tables, append_load, scratch_dir
+from parcelledger.operators import hot_groups
+from parcelledger.sources import Tables, append_load, create_version_table, read_version, scratch_dir, versions
+from parcelledger.sources.versions import latest_version
 
 
 def rows(df):
@@ -107,33 +114,56 @@ def test_sliced_ranks_equal_windows(spark):
     data += [("hot", "same", Decimal(1))] * 700 + [(None, "n", Decimal(2))] * 3 + [("gap", None, None), ("gap", "a", Decimal(4))]
     df = spark.createDataFrame(data, "g string, o string, v decimal(18,4)")
     totals = {"total": F.col("v"), "twice": F.col("v") * 2}
-    whole = ranked_with_totals(df, "g", "o", totals, "place", hot_rows=10**9)
-    sliced = ranked_with_totals(df, "g", "o", totals, "place", hot_rows=100)
-    names = ["g", "o", "v", "place", "total", "twice"]
-    assert rows(whole.select(*names)) == rows(sliced.select(*names))
-
-    # Brute force for the hot group.
-    keys = sorted(o for g, o, _ in data if g == "hot")
-    expected = {o: keys.index(o) + 1 for o in set(keys)}
-    got = {r.o: r.place for r in sliced.filter("g = 'hot'").collect()}
-    assert got == expected
+    group = Window.partitionBy("g")
+    whole = df.select(
+        "g", "o", "v", F.rank().over(group.orderBy("o")).cast("long").alias("place"),
+        F.sum("v").over(group).alias("total"), F.sum(F.col("v") * 2).over(group).alias("twice"),
+    )
+    for slices in (1, 16, 1024):
+        sliced = ranked_with_totals(df, "g", "o", totals, "place", slices=slices)
+        assert rows(whole) == rows(sliced.select("g", "o", "v", "place", "total", "twice"))
+    # Bounds of another table give the same ranks.
+    other = spark.range(50).select(F.lit("hot").alias("g"), F.format_string("w%d", "id").alias("o"))
+    sliced = ranked_with_totals(df, "g", "o", totals, "place", bounds_from=other)
+    assert rows(whole) == rows(sliced.select("g", "o", "v", "place", "total", "twice"))
+    assert ranked_with_totals(df.limit(0), "g", "o", totals, "place").count() == 0
+
+
+def test_rows_outside_the_condition_have_no_rank(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("", 1), ("", 2), (None, 5)], "g string, o int")
+    ranked = ranked_with_totals(df, "g", "o", {"n": F.lit(1)}, "place", where=F.col("g") != "")
+    assert rows(ranked.select("g", "o", "place", "n")) == rows(
+        spark.createDataFrame(
+            [("a", 1, 1, 2), ("a", 2, 2, 2), ("", 1, None, None), ("", 2, None, None), (None, 5, None, None)],
+            "g string, o int, place long, n long",
+        )
+    )
 
 
 def test_hot_group_is_cut_into_slices(spark):
     df = spark.range(20000).select(F.lit("hot").alias("g"), F.format_string("w%06d", "id").alias("o"))
-    sliced = ranked_with_totals(df, "g", "o", {}, "place", hot_rows=10)
+    sliced = ranked_with_totals(df, "g", "o", {}, "place")
     assert sliced.select(F.max("place"), F.count_distinct("place")).first()[:] == (20000, 20000)
-    # One pair that fills several slices keeps a shared rank.
+    # No slice holds more than a small part of the group.
+    held = hot_groups._sliced(df, "g", "o", None, None, 64).groupBy(hot_groups.HOME).count()
+    assert held.agg(F.max("count")).first()[0] < 20000 * 8 / 64 and held.count() > 32
     ties = spark.range(9000).select(
         F.lit("hot").alias("g"), F.when(F.col("id") < 8000, "b").when(F.col("id") < 8500, "a").otherwise("c").alias("o"), "id"
     )
-    ranked = ranked_with_totals(ties, "g", "o", {"n": F.lit(1)}, "place", hot_rows=10)
+    ranked = ranked_with_totals(ties, "g", "o", {"n": F.lit(1)}, "place")
     assert rows(ranked.groupBy("o", "place", "n").count()) == [
         ("a", 1, 9000, 500), ("b", 501, 9000, 8000), ("c", 8501, 9000, 500),
     ]
-    # No slice of the stored rows holds the whole group.
-    held = df.repartitionByRange(4, "g", "o").groupBy(F.spark_partition_id()).count()
-    assert held.count() == 4 and held.agg(F.max("count")).first()[0] < 10000
+
+
+def test_running_sums_equal_windows(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+        F.xxhash64("id").alias("o"), (F.col("id") % 11).alias("v"),
+    )
+    before = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    whole = df.select("g", "o", "v", F.coalesce(F.sum("v").over(before), F.lit(0)).alias("sum_before"))
+    assert rows(whole) == rows(running_sums(df, "g", "o", {"sum_before": F.col("v")}))
 
 
 # --- aggregation ------------------------------------------------------------------------
@@ -196,7 +226,7 @@ FIRST, SECOND, THIRD = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 def _stored(spark):
     path = scratch_dir(spark, "upsert-test")
     old = [(1, "a", FIRST), (2, "b", FIRST), (3, "c", SECOND), (4, "d", THIRD), (5, "e", None)]
-    spark.createDataFrame(old, SCHEMA).write.partitionBy("day").parquet(path)
+    create_version_table(spark.createDataFrame(old, SCHEMA), path, "day", ["id"])
     return path
 
 
@@ -208,28 +238,84 @@ def test_upsert_inserts_updates_moves_and_keeps(spark):
     touched = merge_upsert(path, changes, "id", "day")
     assert set(touched) == {FIRST, SECOND, THIRD, None}
     expected = [(1, "A", FIRST), (2, "b", FIRST), (3, "c", THIRD), (4, "d", THIRD), (5, "E", None), (6, "f", SECOND)]
-    assert rows(spark.read.parquet(path).select("id", "value", "day")) == sorted(expected, key=repr)
+    assert rows(read_version(spark, path).select("id", "value", "day")) == sorted(expected, key=repr)
     merge_upsert(path, changes, "id", "day")
-    assert rows(spark.read.parquet(path).select("id", "value", "day")) == sorted(expected, key=repr)
+    assert rows(read_version(spark, path).select("id", "value", "day")) == sorted(expected, key=repr)
 
 
 def test_upsert_removes_a_partition_that_runs_empty(spark):
     path = _stored(spark)
     moved = spark.createDataFrame([(4, "d", FIRST), (5, "e", FIRST)], SCHEMA)
     assert set(merge_upsert(path, moved, "id", "day")) == {FIRST, THIRD, None}
-    got = rows(spark.read.parquet(path).select("id", "day"))
+    got = rows(read_version(spark, path).select("id", "day"))
     assert got == sorted([(1, FIRST), (2, FIRST), (3, SECOND), (4, FIRST), (5, FIRST)], key=repr)
 
 
 def test_upsert_leaves_other_partitions_alone(spark):
     path = _stored(spark)
-    before = {r[0] for r in spark.read.parquet(path).filter("day = '2024-01-03'").select(F.input_file_name()).collect()}
+    before = {r[0] for r in read_version(spark, path).filter("day = '2024-01-03'").select(F.input_file_name()).collect()}
     merge_upsert(path, spark.createDataFrame([(1, "A", FIRST)], SCHEMA), "id", "day")
-    after = {r[0] for r in spark.read.parquet(path).filter("day = '2024-01-03'").select(F.input_file_name()).collect()}
+    after = {r[0] for r in read_version(spark, path).filter("day = '2024-01-03'").select(F.input_file_name()).collect()}
     assert before == after
     assert merge_upsert(path, spark.createDataFrame([], SCHEMA), "id", "day") == []
 
 
+def test_versions_stay_readable(spark):
+    path = _stored(spark)
+    before = rows(read_version(spark, path))
+    merge_upsert(path, spark.createDataFrame([(1, "A", SECOND)], SCHEMA), "id", "day")
+    create_version_table(spark.createDataFrame([(9, "z", FIRST)], SCHEMA), path, "day", ["id"])
+    assert rows(read_version(spark, path, 1)) == before
+    assert rows(read_version(spark, path)) == [(9, "z", FIRST)]
+
+
+WRITER = """
+import os, sys
+sys.path.insert(0, sys.argv[1])
+from datetime import date
+from parcelledger.operators import merge_upsert, upsert
+from parcelledger.session import local_session
+upsert.publish = lambda *a, **b: os._exit(9)
+spark = local_session(2, memory="1g")
+merge_upsert(sys.argv[2], spark.createDataFrame([(1, "new", date(2024, 1, 2))], "id int, value string, day date"), "id", "day")
+"""
+
+
+def test_a_writer_killed_before_the_switch_leaves_the_old_version(spark):
+    path = _stored(spark)
+    before, files = rows(read_version(spark, path)), spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    stored = files.load(f"{path}/data").count()
+    root = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run([sys.executable, "-c", WRITER, root, path.removeprefix("file:")], capture_output=True, timeout=180)
+    assert done.returncode == 9, done.stderr[-2000:]
+    assert files.load(f"{path}/data").count() > stored  # it had written its data
+    assert latest_version(spark, path) == 1 and rows(read_version(spark, path)) == before
+    merge_upsert(path, spark.createDataFrame([(1, "again", SECOND)], SCHEMA), "id", "day")
+    assert (1, "again", SECOND) in rows(read_version(spark, path))
+
+
+def test_two_writers_of_one_version_are_found_out(spark):
+    path = _stored(spark)
+    versions.publish(versions.manifest(spark, path), path, 1)
+    with pytest.raises(RuntimeError, match="several writers"):
+        read_version(spark, path)
+
+
+@pytest.mark.parametrize("values", [
+    ["TIMESTAMP '2024-01-01 10:30:00'", "TIMESTAMP '2024-01-02 08:15:00'", "CAST(NULL AS TIMESTAMP)"],
+    ["'a/b=c %20'", "''", "CAST(NULL AS STRING)"],
+    ["1.5D", "-0.25D", "CAST(NULL AS DOUBLE)"],
+])
+def test_any_type_can_be_a_partition(spark, values):
+    path = scratch_dir(spark, "typed")
+    frame = lambda *pairs: spark.sql(" UNION ALL ".join(f"SELECT {i} AS id, {v} AS at" for i, v in pairs))
+    one, two, none = values
+    create_version_table(frame((1, one), (2, two), (3, none)), path, "at", ["id"])
+    merge_upsert(path, frame((1, two), (3, one), (4, none)), "id", "at")
+    assert rows(read_version(spark, path)) == rows(frame((1, two), (2, two), (3, one), (4, none)))
+    assert versions.manifest(spark, path).count() == 3
+
+
 def test_upsert_rejects_duplicate_source_keys(spark):
     path = _stored(spark)
     with pytest.raises(ValueError, match="several rows"):
@@ -268,12 +354,3 @@ def test_a_load_leaves_earlier_loads_alone(spark):
     got = {(r.id, r.day, r.load_day) for r in spark.read.parquet(path).collect()}
     assert got == {(1, FIRST, FIRST), (2, FIRST, FIRST), (3, FIRST, SECOND), (4, SECOND, SECOND)}
     assert spark.read.parquet(path).count() == 4
-
-
-def test_upsert_refuses_a_timestamp_partition_before_writing(spark):
-    path = scratch_dir(spark, "stamped")
-    rows = spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-01 10:30:00' AS at")
-    rows.write.partitionBy("at").parquet(path)
-    with pytest.raises(TypeError):
-        merge_upsert(path, spark.sql("SELECT 1 AS id, TIMESTAMP '2024-01-02 08:15:00' AS at"), "id", "at")
-    assert spark.read.parquet(path).count() == 1
