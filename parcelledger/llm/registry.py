@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from parcelledger.llm import (
     byte_bpe,
+    chat_tree,
     decontamination,
     divergence,
     exact_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_secrets": secrets.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_chat_tree": chat_tree.op11,
     "op12_source_divergence": divergence.op12,
     "op13_whitening": whitening.op13,
 }
