@@ -240,6 +240,27 @@ def journey_delta(s: Sample) -> DataFrame:
     return _journey(s, journey.delta_window(EVENTS_AS_OF))
 
 
+def _touched_sql() -> str:
+    events, changed, _ = _journey_windows("delta")
+    parts = [
+        f"SELECT tracking_id FROM registrations WHERE {changed.replace('updated_at', 'created_time')}",
+        f"SELECT tracking_id FROM journey_orders WHERE {changed}",
+        f"SELECT tracking_id FROM journey_tracking WHERE {changed}",
+        f"SELECT tracking_id FROM hub_events WHERE {events}",
+        f"SELECT tracking_id FROM dropoffs WHERE {events}",
+    ]
+    return " UNION ".join(parts)
+
+
+@query(with_views(JOURNEY_VIEWS, f""", {PLACED_SQL}, {journey_ctes('full')}, touched AS ({_touched_sql()})
+    SELECT * FROM journey WHERE tracking_id IN (SELECT tracking_id FROM touched)"""))
+def journey_delta_touched(s: Sample) -> DataFrame:
+    """Only what can differ from yesterday's load: touched ids, with all that the full load knows about them."""
+    tables = _tables(s, sample.JOURNEY)
+    ids = journey.changed_ids(tables, journey.delta_window(EVENTS_AS_OF))
+    return journey.order_journey(tables, journey.full_window(EVENTS_AS_OF), EVENTS_AS_OF, LOADED_AT, only=ids)
+
+
 UPSERT_SQL = """SELECT * FROM journey WHERE tracking_id NOT IN (SELECT tracking_id FROM changes)
     UNION ALL BY NAME SELECT * FROM changes"""
 
