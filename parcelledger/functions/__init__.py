@@ -1,6 +1,6 @@
 """Column expressions: time zones, exact money, text codes and ordered rules."""
 
-from parcelledger.functions.money import amount, as_float, fee, rate, ratio, weight
+from parcelledger.functions.money import amount, as_float, factor, fee, rate, ratio, unreadable, weight
 from parcelledger.functions.rules import Rule, bucketise, first_match
 from parcelledger.functions.text import after_underscore, first_token, has_prefix
 from parcelledger.functions.time import (
@@ -20,6 +20,7 @@ __all__ = [
     "bucketise",
     "day_age",
     "day_start",
+    "factor",
     "fee",
     "first_match",
     "first_token",
@@ -29,6 +30,7 @@ __all__ = [
     "months_before",
     "rate",
     "ratio",
+    "unreadable",
     "utc_bound",
     "weight",
 ]

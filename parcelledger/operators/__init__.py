@@ -5,7 +5,7 @@ from parcelledger.operators.dedup import earliest_by, latest_by, pick_first
 from parcelledger.operators.filters import on_days, recent, recent_months, since
 from parcelledger.operators.hot_groups import ranked_with_totals, running_sums
 from parcelledger.operators.lookups import decode, fallback, lookup, tier_lookup
-from parcelledger.operators.quality import duplicate_keys, reconcile
+from parcelledger.operators.quality import duplicate_keys, observe_unreadable, reconcile, unreadable_values
 from parcelledger.operators.upsert import merge_upsert, merged_rows
 
 __all__ = [
@@ -18,6 +18,7 @@ __all__ = [
     "lookup",
     "merge_upsert",
     "merged_rows",
+    "observe_unreadable",
     "on_days",
     "pick_first",
     "ranked_with_totals",
@@ -28,4 +29,5 @@ __all__ = [
     "since",
     "sum_when",
     "tier_lookup",
+    "unreadable_values",
 ]

@@ -4,9 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from parcelledger.functions import unreadable
+
+
+def unreadable_values(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """(column, value, rows): values that are there but that their type cannot hold, which rules read as NULL.
+
+    ``kinds`` maps a column to the type it is read as. One scan serves all columns; counts are combined map-side.
+    """
+    checked = [
+        F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value"), unreadable(name, kind).alias("bad"))
+        for name, kind in kinds.items()
+    ]
+    found = df.select(F.explode(F.array(*checked)).alias("c")).filter("c.bad").select("c.column", "c.value")
+    return found.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def observe_unreadable(df: DataFrame, kinds: Mapping[str, str], observation: Observation) -> DataFrame:
+    """The same rows; once they have been used, ``observation`` has the number of unreadable values of each column."""
+    return df.observe(observation, *[F.count_if(unreadable(name, kind)).alias(name) for name, kind in kinds.items()])
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count: joins on them multiply rows."""

@@ -14,6 +14,7 @@ from parcelledger.functions import (
     amount,
     as_float,
     day_start,
+    factor,
     fee,
     first_match,
     local_date,
@@ -290,9 +291,10 @@ def return_fee() -> Column:
 
 def chargeable_weight(value: ColumnLike) -> Column:
     """Billed kilograms: up to 1.309 kg count as one, beyond that 0.31 kg are free."""
-    kilos = as_column(value)
-    rounded = F.ceil(kilos - F.lit(V.WEIGHT_ROUNDING)).cast("decimal(18,4)")
-    return F.when(kilos <= F.lit(V.FREE_WEIGHT_UP_TO), F.lit(1).cast("decimal(18,4)")).otherwise(rounded)
+    # One digit less than a weight can have, so that the difference keeps all nine decimals.
+    kilos = as_column(value).try_cast("decimal(37,9)")
+    rounded = F.ceil(kilos - F.lit(V.WEIGHT_ROUNDING)).cast("decimal(30,0)")
+    return F.when(kilos <= F.lit(V.FREE_WEIGHT_UP_TO), F.lit(1).cast("decimal(30,0)")).otherwise(rounded)
 
 
 def pod_date(tz: str = JAKARTA) -> Column:
@@ -548,10 +550,13 @@ def _with_marketplace(df: DataFrame, tables: Tables, scheme_start: date, tz: str
     nothing = F.lit(0).cast(AMOUNT)
     per_tier = first_match([Rule(t.name, arm == t.name, t.per_tier.cast(AMOUNT)) for t in tariffs])
     per_kilo = first_match([Rule(t.name, arm == t.name, t.per_kilo.cast(AMOUNT)) for t in tariffs if t.per_kilo is not None], nothing)
-    by_weight = F.when(per_kilo == 0, nothing).otherwise(F.col("actual_weight_value")) * per_kilo
+    kilos = F.when(per_kilo == 0, F.lit(0).cast(RATE)).otherwise(factor("actual_weight_value"))
+    # Both parts leave room for the other's scale, so their sum is exact before the one rounding.
+    by_weight = (kilos * per_kilo).try_cast("decimal(31,13)")
+    by_tier = (F.col("tier") * per_tier).try_cast("decimal(26,8)")
     return _fold(
         df,
-        {"marketplace_fee": fee(F.col("tier") * per_tier + by_weight)},
+        {"marketplace_fee": fee(by_tier + by_weight)},
         [
             "order_origin", "order_destination", "order_source", "origin_status", "city_type", "tier",
             "role_miles", "is_kr_whitelist", *[f"price_{leg}" for leg in legs],

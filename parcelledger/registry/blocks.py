@@ -20,6 +20,7 @@ from parcelledger.functions import (
     local_datetime,
     rate,
 )
+from parcelledger.functions.money import AMOUNT, WEIGHT
 from parcelledger.operators import (
     concat_notes,
     decode,
@@ -37,8 +38,10 @@ from parcelledger.operators import (
     since,
     sum_when,
     tier_lookup,
+    unreadable_values,
 )
-from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query
+from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query, with_views
+from parcelledger.sources import sample
 
 def _price() -> Column:
     return amount("l_extendedprice")
@@ -648,3 +651,14 @@ def reconcile_report(s: Sample) -> DataFrame:
 @query("""SELECT l_orderkey, l_linenumber, COUNT(*) AS rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 def duplicate_parcel_keys(s: Sample) -> DataFrame:
     return duplicate_keys(s.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+_READ_AS = {"item_calculated_weight": WEIGHT, "item_actual_weight": WEIGHT, "cod_amount": AMOUNT}
+
+
+@query(with_views(["parcels"], " UNION ALL ".join(
+    f"""SELECT '{name}' AS "column", CAST({name} AS VARCHAR) AS value, COUNT(*) AS rows FROM parcels
+    WHERE {name} IS NOT NULL AND TRY_CAST({name} AS {kind}) IS NULL GROUP BY 2""" for name, kind in _READ_AS.items())))
+def invalid_amounts(s: Sample) -> DataFrame:
+    """Text that should hold a number and does not: what the reports count as missing."""
+    return unreadable_values(sample.view(s.spark, s.folder, "parcels"), _READ_AS)

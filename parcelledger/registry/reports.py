@@ -97,7 +97,7 @@ CATEGORY = """COALESCE(m2.finance_source_category, CASE m1.finance_source_catego
 PICKUP_SQL = f"""picked AS (SELECT {local_day("p.shipping_time")} AS date_key, 'pickup' AS flag,
     CASE WHEN e.option_name = 'iDtruck' THEN 'Cargo' ELSE 'Non Cargo' END AS parent_source, {CATEGORY},
     c.option_name AS waybill_source, p.parent_client_identifier AS parent_shipping_client, 'pod delivery' AS pod_category,
-    COUNT(p.waybill_no) AS volume, SUM(TRY_CAST(p.item_calculated_weight AS DECIMAL(18,4))) AS weight,
+    COUNT(p.waybill_no) AS volume, SUM(TRY_CAST(p.item_calculated_weight AS DECIMAL(38,9))) AS weight,
     0 AS gross, 0 AS net, 0 AS cod, 0 AS back FROM parcels p
     LEFT JOIN codes e ON e.type_option = 'expressType' AND e.option_value = p.express_type
     LEFT JOIN codes c ON c.type_option = 'waybillSource' AND c.option_value = p.waybill_source

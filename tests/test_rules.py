@@ -6,9 +6,12 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from parcelledger.functions import after_underscore, amount, first_token, ratio
+from parcelledger.functions import after_underscore, amount, first_token, ratio, weight
+from parcelledger.functions.money import AMOUNT, WEIGHT
+from parcelledger.operators import observe_unreadable, unreadable_values
 from parcelledger.plans import billing, journey, monitoring, oms, virtual_accounts, wallet
 from parcelledger.sources.sample import BILLING, JOURNEY, WALLET, sample_tables
 
@@ -24,9 +27,14 @@ def results(df, column):
 
 
 def test_chargeable_weight(spark):
-    df = one_column(spark, ["0", "1.309", "1.31", "1.3101", "2.31", "2.32", None, "x"])
-    got = results(df, billing.chargeable_weight(amount("v")))
-    assert [None if g is None else int(g) for g in got] == [1, 1, 1, 2, 2, 3, None, None]
+    df = one_column(spark, ["0", "1.309", "1.3090001", "1.31", "1.3101", "2.31", "2.31004", "2.310000001", "2.32", None, "x", "9" * 17])
+    got = results(df, billing.chargeable_weight(weight("v")))
+    assert [None if g is None else int(g) for g in got] == [1, 1, 1, 1, 2, 2, 3, 3, 3, None, None, 10**17 - 1]
+    bad = {(r.column, r.value): r.rows for r in unreadable_values(df, {"v": WEIGHT}).collect()}
+    assert bad == {("v", "x"): 1}
+    seen = Observation()
+    assert observe_unreadable(df.union(df), {"v": AMOUNT, "i": AMOUNT}, seen).count() == 24
+    assert seen.get == {"v": 4, "i": 0}
 
 
 def test_ageing_buckets(spark):
