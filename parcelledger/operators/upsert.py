@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -43,7 +44,13 @@ def merged_rows(target: DataFrame, source: DataFrame, key: str, policy: str = "r
 
 
 def merge_upsert(
-    target_path: str, source: DataFrame, key: str, partition: str, policy: str = "replace", batch: str | None = None
+    target_path: str,
+    source: DataFrame,
+    key: str,
+    partition: str,
+    policy: str = "replace",
+    batch: str | None = None,
+    newest_by: Sequence[str] = (),
 ) -> list[Any]:
     """Upsert ``source`` into the table of versions at ``target_path`` and return the partition values it touched.
 
@@ -51,7 +58,8 @@ def merge_upsert(
     scan of the key column plus those partitions. A key whose partition value changed leaves its old partition; a
     partition left without rows is in the new version no more. Readers see the old version whole until the new one is
     published by one rename. Duplicate source keys are an error, raised before anything is written. A ``batch`` that the
-    table has published before is skipped; the same upsert without one gives the same table again.
+    table has published before is skipped; the same upsert without one gives the same table again. With ``newest_by``,
+    source rows that are older by these columns than what the table holds for their key change nothing.
     """
     spark = source.sparkSession
     if batch is not None and not applied_batches(spark, target_path).filter(F.col("batch") == batch).isEmpty():
@@ -65,6 +73,12 @@ def merge_upsert(
     number = latest_version(spark, target_path)
     before = manifest(spark, target_path, number)
     everything = read_folders(spark, target_path, sorted(r["folder"] for r in before.select("folder").collect()))
+    if newest_by:
+        age = lambda df: F.struct(*[df[c] for c in newest_by])
+        stored = everything.select(F.col(key).alias("__key"), age(everything).alias("__age"))
+        met = source.join(stored, source[key] == stored["__key"], "left")
+        late = stored["__age"].isNotNull() & (age(source) < stored["__age"])
+        source = met.filter(~late).select(*[source[c] for c in source.columns])
     held = everything.join(source.select(key), key, "left_semi").select(partition)
     parts = numbered_values(held.union(source.select(partition)).distinct().withColumnRenamed(partition, "value"))
     touched = [r["value"] for r in parts.orderBy("__part").collect()]

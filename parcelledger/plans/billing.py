@@ -367,11 +367,22 @@ def _with_waybill_facts(df: DataFrame, tables: Tables, as_of: date, days: int, t
         },
     )
     return lookup(
-        df, wallet_per_waybill(tables["agg_wallet_summary"]), {"waybill_no": "waybill_no"},
+        df, _wallet(tables, as_of, days, tz), {"waybill_no": "waybill_no"},
         {"wallet_waybill": "waybill_no", "wallet_total": "total_shipping_fee", "wallet_net": "net_shipping_fee"},
     )
 
 
+def _wallet(tables: Tables, as_of: date, days: int, tz: str) -> DataFrame:
+    """Wallet fees per waybill: from maintained sums where the tables have them, else from the whole history.
+
+    Of the sums only rows of the day's waybills are spread and added up.
+    """
+    if "wallet_totals" not in tables:
+        return wallet_per_waybill(tables["agg_wallet_summary"])
+    due = _day_waybills(tables["fact_waybill_details"], as_of, days, tz).select("waybill_no")
+    return wallet_per_waybill(tables["wallet_totals"].join(due, "waybill_no", "left_semi"))
+
+
 def _with_codes(df: DataFrame, tables: Tables) -> DataFrame:
     codes = tables["dim_system_codes"]
     df = decode(df, codes, "waybill_source", V.WAYBILL_SOURCE, "waybill_source_name")
@@ -620,7 +631,8 @@ def daily_billing(
     """Billing rows of the ``days`` local days before the reporting date.
 
     One row per distinct priced waybill. A net or return fee that no rule could settle is
-    taken from the waybill fee table.
+    taken from the waybill fee table. With a table ``wallet_totals`` (``wallet_totals.totals``)
+    the wallet history is not read.
     """
     priced = priced_waybills(tables, as_of, tz, days, scheme_start)
     charged = priced.withColumn("net_arm", net_arm(faithful)).select(

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelledger.operators import merge_upsert
+from parcelledger.operators import merge_upsert, pick_first
 from parcelledger.plans import billing, journey, monitoring, oms
 from parcelledger.registry import billing_sql as B
 from parcelledger.registry import reports as R
@@ -23,6 +23,7 @@ from parcelledger.sources import (
     write_clustered,
 )
 from parcelledger.sources.sample import BILLING, FINANCE, JOURNEY, MONITORING, sample_tables
+from parcelledger.streaming import start_upsert
 
 LAST_MONTHS = date(2001, 6, 1)
 JOURNEY_ROWS = ", ".join(["*", "CAST(event_time AS DATE) AS event_day"])
@@ -98,6 +99,24 @@ def sink_upsert(s: Sample) -> DataFrame:
     return read_version(s.spark, path)
 
 
+@query("""SELECT user_id, event_id, event_type, ts, CAST(ts AS DATE) AS day FROM events
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_latest_event(s: Sample) -> DataFrame:
+    """A stream of changes into a table of versions: files come out of order, one of them twice, one batch again."""
+    target, feed, marks = (scratch_dir(s.spark, n) for n in ("latest", "latest-feed", "latest-marks"))
+    rows = s.events.select("user_id", "event_id", "event_type", "ts", F.col("ts").cast("date").alias("day"))
+    dealt = rows.withColumn("file", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    create_version_table(pick_first(dealt.filter("file = 3").drop("file"), ["user_id"], newest), target, "day", ["user_id"])
+    for number in (2, 0, 2, 1):
+        dealt.filter(F.col("file") == number).drop("file").write.mode("append").parquet(feed)
+        changes = s.spark.readStream.schema(rows.schema).parquet(feed)
+        start_upsert(changes, target, "user_id", "day", newest, marks, newest_by=["ts", "event_id"]).awaitTermination()
+    first = pick_first(dealt.filter("file = 2").drop("file"), ["user_id"], newest)
+    merge_upsert(target, first, "user_id", "day", batch="changes/0")
+    return read_version(s.spark, target)
+
+
 @query(R.oms_aggregate_sql(R.HISTORY))
 def sink_csv(s: Sample) -> DataFrame:
     """Report export with a header line."""
