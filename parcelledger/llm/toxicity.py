@@ -3,8 +3,8 @@
 A word enters as the sum of an embedding of its own and the mean embedding of its three- and four-letter pieces, both by
 hashed buckets. Two gated recurrent layers read a window of words from either side; attention pools their states to one
 logit. All overlapping windows of a whole text are scored, and the text has the score of its worst window. The network
-is trained in numpy on a bounded sample of labelled rows: every window of a clean text must be clean, and of a toxic
-text the worst window must be toxic.
+is trained in numpy on a bounded sample of labelled rows (FIT_ROWS of each class, FIT_WINDOWS windows of a text): every
+window of a clean text must be clean, and of a toxic text the worst window must be toxic.
 
 Null and empty texts have one window without words and get its score. Repeated rows are scored each; only the text is an
 input of the score. An empty table gives an empty result. Without labelled rows of both classes the untrained network
@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelledger.llm.common import table, text_rows
@@ -28,8 +28,9 @@ from parcelledger.llm.common import table, text_rows
 WINDOW, STRIDE = 32, 24
 SIZE, HIDDEN = 16, 12
 WORD_BUCKETS, PIECE_BUCKETS = 1 << 15, 1 << 14
-#: The fit takes so many labelled rows of each class, of texts up to so many characters; scoring has no bound.
-FIT_ROWS, FIT_CHARS = 2500, 4000
+#: The fit takes so many labelled identifiers of each class, and of each of their texts so many windows, spread evenly
+#: over it where it has more; scoring has no bound.
+FIT_ROWS, FIT_WINDOWS = 2500, 32
 EPOCHS, BATCH, RATE = 5, 32, 0.02
 MEMO, CHUNK = 400_000, 4096
 WORD = re.compile(r"[^\W_]+")
@@ -231,10 +232,23 @@ class _Step:
 
 def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 5) -> Network:
     """Fit on texts and their labels, in an order that depends on the seed alone."""
+    return train_windows([windows_in(text) for text in texts], toxic, epochs, seed)
+
+
+def windows_in(text: str, most: int | None = None) -> list[list[str]]:
+    """The windows of a text, or ``most`` of them, spread evenly."""
+    words = words_in(text)
+    starts = window_starts(len(words))
+    if most is not None and len(starts) > most:
+        starts = [starts[i * len(starts) // most] for i in range(most)]
+    return [words[a : a + WINDOW] for a in starts]
+
+
+def train_windows(bags: list[list[list[str]]], toxic: list[int], epochs: int = EPOCHS, seed: int = 5) -> Network:
+    """Fit on the windows of texts and the labels of these texts."""
     net, step, rng = Network.fresh(), _Step(), np.random.default_rng(seed)
     if len(set(toxic)) < 2:
         return net
-    bags = [[w[a : a + WINDOW] for a in window_starts(len(w))] for w in map(words_in, texts)]
     # As many steps for a small sample as for a larger one, within reason.
     epochs = max(epochs, min(40, epochs * 1500 // len(bags)))
     for _ in range(epochs):
@@ -290,18 +304,52 @@ def _learn(net: Network, step: _Step, batch: list[tuple[list[list[str]], int]])
         step.apply(name, weights, total, unique)
 
 
+def sampled_labels(labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
+    """(named, toxic): of each class the ``most`` identifiers that come first by hash, from the labels alone.
+
+    A share of the identifiers, by hash, is cut off first, so that no task sends more of them than the result can hold.
+    """
+    marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = marks.filter(~held_out() & F.col("toxic").isin(0, 1)).withColumn("digest", F.xxhash64("doc_id"))
+    counts = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    # Twice the share that is needed: that it holds fewer than needed has no chance to speak of.
+    least = {label: int(min(1.0, 2 * (most + 500) / n) * 2**64) - 2**63 for label, n in counts.items()}
+    near = F.lit(False)
+    for label, bound in least.items():
+        near |= (F.col("toxic") == label) & (F.col("digest") <= min(bound, 2**63 - 1))
+    first = Window.partitionBy("toxic").orderBy("digest", "doc_id")
+    ranked = marks.filter(near).withColumn("place", F.row_number().over(first))
+    return ranked.filter(F.col("place") <= most).select(F.col("doc_id").alias("named"), "toxic")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """Train on labelled rows whose crc32(doc_id) mod 5 is not 0: FIT_ROWS of each class at most, by hash order."""
-    marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("named")).agg(F.max("toxic").alias("toxic"))
-    rows = text_rows(docs).filter(~held_out() & (F.char_length("text") <= FIT_CHARS))
-    known = rows.join(marks, rows["doc_id"] == marks["named"]).select("doc_id", "text", "toxic")
-    texts, toxic = [], []
-    for label in (0, 1):
-        chosen = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(FIT_ROWS)
-        found = chosen.collect()  # FIT_ROWS * FIT_CHARS characters at most
-        texts += [r["text"] for r in found]
-        toxic += [label] * len(found)
-    return train(texts, toxic)
+    """Train on rows of labelled identifiers whose crc32(doc_id) mod 5 is not 0.
+
+    The identifiers are chosen from the labels; only rows of those chosen are read further, and tasks cut their texts into
+    at most FIT_WINDOWS windows before they reach the driver. Of rows that share an identifier one is taken, by hash of its
+    text.
+    """
+    chosen = sampled_labels(labels)  # FIT_ROWS identifiers of each class at most
+    rows = text_rows(docs)
+    known = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["named"]).select("named", "toxic", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 64):
+                part = batch.slice(low, 64)
+                texts = part.column("text").to_pylist()
+                stamps = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]
+                windows = [[" ".join(w) for w in windows_in(t, FIT_WINDOWS)] for t in texts]
+                columns = [pa.array(stamps, pa.int64()), pa.array(windows, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("named"), part.column("toxic"), *columns], ["named", "toxic", "stamp", "windows"]
+                )
+
+    ident, kind = known.schema["named"].dataType.simpleString(), known.schema["toxic"].dataType.simpleString()
+    windows = known.mapInArrow(cut, f"named {ident}, toxic {kind}, stamp long, windows array<string>")
+    one = windows.groupBy("named").agg(F.min(F.struct("stamp", "windows", "toxic")).alias("row"))
+    found = sorted(one.select("named", "row.*").collect(), key=lambda r: (r["stamp"], str(r["named"])))
+    return train_windows([[w.split(" ") if w else [] for w in r["windows"]] for r in found], [r["toxic"] for r in found])
 
 
 def held_out():
@@ -311,17 +359,23 @@ def held_out():
 _networks: dict[int, Network] = {}
 
 
+def network_of(stamp: int, word: np.ndarray, piece: np.ndarray, dense: dict[str, np.ndarray]) -> Network:
+    """One network a worker, with the memo of all its tasks: tasks find this function by name."""
+    if stamp not in _networks:
+        _networks.clear()
+        _networks[stamp] = Network(word, piece, dense)
+    return _networks[stamp]
+
+
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """(doc_id, score) of every row."""
     word, piece, dense = net.word, net.piece, net.dense
     stamp = zlib.crc32(dense["out"].tobytes() + dense["into"].tobytes())
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if stamp not in _networks:
-            _networks.clear()
-            _networks[stamp] = Network(word, piece, dense)
+        net = network_of(stamp, word, piece, dense)
         for batch in batches:
-            values = _networks[stamp].score(batch.column("text").to_pylist())
+            values = net.score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
 
     rows = text_rows(docs)
