@@ -103,7 +103,8 @@ def signatures(rows: DataFrame) -> DataFrame:
                 ["doc_id", "spot", "content", "hashes"],
             )
 
-    return rows.mapInArrow(sign, "doc_id long, spot long, content binary, hashes array<int>")
+    ident = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(sign, f"doc_id {ident}, spot long, content binary, hashes array<int>")
 
 
 def _branch(path: Column, pick: Column) -> Column:
