@@ -5,15 +5,24 @@ from parcelledger.operators.dedup import earliest_by, latest_by, pick_first
 from parcelledger.operators.filters import on_days, recent, recent_months, since
 from parcelledger.operators.hot_groups import ranked_with_totals, running_sums
 from parcelledger.operators.lookups import decode, fallback, lookup, tier_lookup
-from parcelledger.operators.quality import duplicate_keys, observe_unreadable, reconcile, unreadable_values
+from parcelledger.operators.quality import (
+    differing_buckets,
+    duplicate_keys,
+    find_differences,
+    observe_unreadable,
+    reconcile,
+    unreadable_values,
+)
 from parcelledger.operators.upsert import merge_upsert, merged_rows
 
 __all__ = [
     "concat_notes",
     "decode",
+    "differing_buckets",
     "duplicate_keys",
     "earliest_by",
     "fallback",
+    "find_differences",
     "latest_by",
     "lookup",
     "merge_upsert",

@@ -71,3 +71,47 @@ def reconcile(
         ],
         status.alias("status"),
     )
+
+
+def _checksums(df: DataFrame, buckets: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows and an order-free checksum of each bucket; repeated rows count. One row a task and bucket is shuffled."""
+    digest = F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("__sum")
+    return df.groupBy(*buckets).agg(F.count(F.lit(1)).alias("__rows"), digest)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The buckets whose rows, as multisets, are not the same on both sides."""
+    a, b = (_checksums(df, buckets, columns).select(*buckets, F.struct("__rows", "__sum").alias(side))
+            for df, side in ((left, "__left"), (right, "__right")))
+    return a.join(b, list(buckets), "full").filter(~F.col("__left").eqNullSafe(F.col("__right"))).select(*buckets)
+
+
+def find_differences(
+    raw: DataFrame,
+    report: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Column],
+    buckets: int = 1024,
+) -> DataFrame:
+    """The keys of two large tables whose rows differ in any column, as ``reconcile`` shows them; equal ones are left out.
+
+    Tables are compared by checksums of ``buckets`` hash buckets of their keys, the differing ones by those of as many
+    smaller buckets, and only rows of these are shuffled to be compared by key. Tables that are alike cost three scans and
+    no shuffle of rows. ``measures`` are aggregates that both sides have; rows that agree in all of them and differ in
+    another column are a ``difference`` too.
+    """
+    columns = [c for c in raw.columns if c in report.columns]
+
+    def placed(df: DataFrame) -> DataFrame:
+        coarse, fine = (F.pmod(F.xxhash64(*keys, F.lit(level)), F.lit(buckets)) for level in (1, 2))
+        return df.select(*columns, coarse.alias("__coarse"), fine.alias("__fine"))
+
+    left, right = placed(raw), placed(report)
+    coarse = differing_buckets(left, right, ["__coarse"], columns)
+    # At most ``buckets`` numbers.
+    left, right = (df.join(F.broadcast(coarse), "__coarse", "left_semi") for df in (left, right))
+    fine = differing_buckets(left, right, ["__coarse", "__fine"], columns)
+    left, right = (df.join(fine, ["__coarse", "__fine"], "left_semi") for df in (left, right))
+    checksum = F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
+    found = reconcile(left, right, keys, {"rows": (F.count(F.lit(1)),) * 2, **{n: (m, m) for n, m in measures.items()}, "__sum": (checksum,) * 2})
+    return found.filter("status <> 'match'").drop("__sum_raw", "__sum_report", "__sum_diff")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelledger.operators import merged_rows
+from parcelledger.operators import find_differences, merged_rows, reconcile
 from parcelledger.plans import (
     accrual,
     billing,
@@ -31,7 +31,7 @@ from parcelledger.registry.rules import (
     TYPE_JOINS,
     ageing_sql,
 )
-from parcelledger.sources import sample, scratch_dir
+from parcelledger.sources import sample, scratch_dir, write_clustered
 from parcelledger.sources.tables import Tables
 
 local_day = B.local_day
@@ -171,6 +171,77 @@ def accrual_net(s: Sample) -> DataFrame:
     return accrual.accrual_report(_accrual_tables(s), FACTS_AS_OF)
 
 
+STATUS_SQL = """CASE WHEN b.at IS NULL THEN 'missing in report' WHEN a.at IS NULL THEN 'missing in raw' WHEN {same} THEN 'match'
+    ELSE 'difference' END AS status"""
+RECONCILED = ("date_key", "waybill_source", "parent_shipping_client", "pod_category")
+
+
+def _reconciled_sql() -> str:
+    keys = ", ".join(RECONCILED)
+    shown = ", ".join(f"COALESCE(a.{k}, b.{k}) AS {k}" for k in RECONCILED)
+    on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in RECONCILED)
+    diff = lambda n: f"COALESCE(a.{n}, 0) - COALESCE(b.{n}, 0)"
+    return f""", {B.billing(BILLED_DAYS)}, {PICKUP_SQL}, {DELIVERED_SQL}, {CROSSDOCK_SQL},
+    a AS (SELECT 1 AS at, CAST(pod_date AS DATE) AS date_key, waybill_source_name AS waybill_source, parent_shipping_client,
+        pod_category, COUNT(waybill_no) AS waybills, SUM(total_shipping_fee) AS gross FROM billing GROUP BY ALL),
+    b AS (SELECT 1 AS at, {keys}, SUM(CASE WHEN flag = 'delivered' THEN volume ELSE 0 END) AS waybills,
+        SUM(CASE WHEN flag = 'delivered' THEN gross + {EXTRAS} ELSE 0 END) AS gross
+        FROM (SELECT * FROM picked UNION ALL SELECT * FROM done UNION ALL SELECT * FROM docked)
+        WHERE date_key >= {B.DAY} - 120 GROUP BY ALL)
+    SELECT {shown}, CAST(a.waybills AS BIGINT) AS waybills_raw, CAST(b.waybills AS BIGINT) AS waybills_report,
+        CAST(a.gross AS DOUBLE) AS gross_raw, CAST(b.gross AS DOUBLE) AS gross_report,
+        CAST({diff("waybills")} AS BIGINT) AS waybills_diff, CAST({diff("gross")} AS DOUBLE) AS gross_diff,
+        {STATUS_SQL.format(same="a.waybills = b.waybills AND a.gross IS NOT DISTINCT FROM b.gross")}
+    FROM a FULL JOIN b ON {on}"""
+
+
+@query(with_views(ACCRUAL_VIEWS, _reconciled_sql()))
+def reconcile_accrual(s: Sample) -> DataFrame:
+    """Billing rows, stored once, against the accrual report made of them: days before its window, legs without billing,
+    and revenue beyond the shipping fee all show."""
+    path = scratch_dir(s.spark, "stored-billing")
+    write_clustered(_billing(s, BILLED_DAYS), path, "pod_date", ["waybill_no"])
+    stored = s.spark.read.parquet(path)
+    report = accrual.accrual_report(_tables(s, sample.ACCRUAL).with_tables(fact_pod_details=stored), FACTS_AS_OF)
+    raw = stored.select(
+        F.col("pod_date").cast("date").alias("date_key"), F.col("waybill_source_name").alias("waybill_source"),
+        "parent_shipping_client", "pod_category", "waybill_no", "total_shipping_fee",
+    )
+    return reconcile(
+        raw, report, RECONCILED,
+        {"waybills": (F.count("waybill_no"), F.sum("delivered_volume")), "gross": (F.sum("total_shipping_fee"), F.sum("gross_revenue"))},
+    )
+
+
+NEXT_DAY = FACTS_AS_OF + timedelta(days=1)
+
+
+def _rebilled_sql() -> str:
+    def side(sql: str) -> str:
+        return f"""(SELECT waybill_no, 1 AS at, COUNT(*) AS rows, SUM(CAST(net_shipping_fee AS DECIMAL(18,6))) AS net,
+            list_sort(list(CAST(t AS VARCHAR))) AS content FROM ({sql}) t GROUP BY waybill_no)"""
+
+    before = side(B.billing_query(2))
+    after = side(B.billing_query(2, B.CORRECTED_NET_ARMS).replace(B.DAY, f"DATE '{NEXT_DAY}'"))
+    return f"""SELECT * FROM (SELECT COALESCE(a.waybill_no, b.waybill_no) AS waybill_no, CAST(a.rows AS BIGINT) AS rows_raw,
+        CAST(b.rows AS BIGINT) AS rows_report, CAST(a.net AS DOUBLE) AS net_raw, CAST(b.net AS DOUBLE) AS net_report,
+        CAST(COALESCE(a.rows, 0) - COALESCE(b.rows, 0) AS BIGINT) AS rows_diff,
+        CAST(COALESCE(a.net, 0) - COALESCE(b.net, 0) AS DOUBLE) AS net_diff, {STATUS_SQL.format(same="a.content = b.content")}
+        FROM {before} a FULL JOIN {after} b ON a.waybill_no IS NOT DISTINCT FROM b.waybill_no) WHERE status <> 'match'"""
+
+
+@query(_rebilled_sql())
+def reconcile_rebilled(s: Sample) -> DataFrame:
+    """Two days of billing against the next two days with the standard discount applied: which waybills changed."""
+    tables, sides = _tables(s, sample.BILLING), []
+    for as_of, faithful in ((FACTS_AS_OF, True), (NEXT_DAY, False)):
+        path = scratch_dir(s.spark, "rebilled")
+        rows = billing.daily_billing(tables, as_of, days=2, faithful=faithful, scheme_start=SCHEME_START)
+        write_clustered(rows, path, "pod_date", ["waybill_no"])
+        sides.append(s.spark.read.parquet(path))
+    return find_differences(*sides, ["waybill_no"], {"net": F.sum("net_shipping_fee")})
+
+
 # --- order journey ----------------------------------------------------------------------
 
 EVENTS_DAY = "DATE '2024-01-31'"

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from parcelledger.functions import amount, months_before, utc_bound
 from parcelledger.operators import (
     concat_notes,
+    differing_buckets,
     duplicate_keys,
     earliest_by,
+    find_differences,
     latest_by,
     lookup,
     merged_rows,
@@ -354,3 +356,33 @@ def test_a_load_leaves_earlier_loads_alone(spark):
     got = {(r.id, r.day, r.load_day) for r in spark.read.parquet(path).collect()}
     assert got == {(1, FIRST, FIRST), (2, FIRST, FIRST), (3, FIRST, SECOND), (4, SECOND, SECOND)}
     assert spark.read.parquet(path).count() == 4
+
+
+# --- differences of large tables --------------------------------------------------------
+
+def test_differences_are_those_of_a_full_comparison(spark):
+    dice = random.Random(11)
+    left = [(dice.randrange(400) or None, dice.choice(["a", "b", None]), Decimal(dice.randrange(5))) for _ in range(1500)]
+    left.append((999, "a", Decimal(1)))
+    right = [r for r in left if dice.random() > 0.02 and r[0] != 999] + [(dice.randrange(380, 450), "c", Decimal(1)) for _ in range(8)]
+    right[5] = (right[5][0], "other text", right[5][2])  # no measure differs
+    fields = "k int, note string, v decimal(18,4)"
+    a, b = spark.createDataFrame(left, fields), spark.createDataFrame(right, fields)
+    content = lambda data: {k: sorted(map(repr, (r for r in data if r[0] == k))) for k in {r[0] for r in data}}
+    raw, report = content(left), content(right)
+    expected = {
+        k: "missing in report" if k not in report else "missing in raw" if k not in raw else "difference"
+        for k in raw.keys() | report.keys() if raw.get(k) != report.get(k)
+    }
+    for buckets in (2, 1024):
+        found = find_differences(a, b, ["k"], {"v": F.sum("v")}, buckets=buckets).collect()
+        assert {r.k: r.status for r in found} == expected and len(found) == len(expected)
+    assert set(expected.values()) == {"missing in report", "missing in raw", "difference"}
+    assert find_differences(a, a, ["k"], {}).count() == 0
+
+
+def test_equal_tables_are_compared_without_shuffling_rows(spark):
+    a = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    text = find_differences(a, a, ["k"], {"v": F.sum("v")})._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    assert differing_buckets(a, a.filter("k <> 77"), ["k"], ["k", "v"]).collect()[0].k == 77
