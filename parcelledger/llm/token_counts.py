@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelledger.llm.common import table, text_rows
 
@@ -93,29 +94,28 @@ class Counter:
 _loaded: dict[str, Counter] = {}
 
 
+def counter_of(tokenizer_path: str) -> Counter:
+    """One counter a worker, with the memo of all its tasks: tasks find this function by name."""
+    if tokenizer_path not in _loaded:
+        _loaded[tokenizer_path] = Counter(load(tokenizer_path))
+    return _loaded[tokenizer_path]
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of each row."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _loaded:
-            _loaded[tokenizer_path] = Counter(load(tokenizer_path))
-        counter = _loaded[tokenizer_path]
+        counter = counter_of(tokenizer_path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            tokens = [counter.count(text) for text in texts]
+            tokens = [counter.count(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(text.encode()) for text in texts], pa.int64()),
-                    pa.array(tokens, pa.int64()),
-                    pa.array([n > LIMIT for n in tokens], pa.bool_()),
-                ],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
             )
 
-    rows = text_rows(docs)
+    rows = text_rows(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     ident = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(counted, f"doc_id {ident}, n_bytes long, n_tokens long, over_limit boolean")
+    found = rows.mapInArrow(counted, f"doc_id {ident}, n_bytes long, n_tokens long")
+    return found.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:
