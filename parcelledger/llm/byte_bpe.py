@@ -185,6 +185,14 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def encoder_of(key: str, ranks_path: str, pattern: str, known: dict[str, str]) -> Encoder:
+    """One encoder a worker, with the memo of all its tasks: tasks find this function by name."""
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(load_ranks(ranks_path), pattern, known)
+    return _encoders[key]
+
+
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, most: int = DICTIONARY) -> DataFrame:
     """(doc_id, ids, decoded) of each row: ids in decimal joined by blanks, and the bytes that they decode to."""
     ranks = load_ranks(ranks_path)
@@ -194,10 +202,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, most: int = DIC
     key = uuid.uuid4().hex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _encoders:
-            _encoders.clear()
-            _encoders[key] = Encoder(load_ranks(ranks_path), pattern, known)
-        encoder = _encoders[key]
+        encoder = encoder_of(key, ranks_path, pattern, known)
         for batch in batches:
             ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
             decoded = [encoder.decode(x) for x in ids]
