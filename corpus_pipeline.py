@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +14,25 @@ from parcelledger.llm.exact_dedup import exact_dedup
 from parcelledger.llm.jaccard_join import jaccard_join
 from parcelledger.llm.toxicity import toxicity
 
-#: Number of a row within a stage.
+#: Name of a row within a stage.
 ROW = "stage_row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, written so that it stays; identifiers may be missing or repeated."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+def _named(docs: DataFrame) -> DataFrame:
+    """The rows with a name each, as identifiers may be missing or repeated.
+
+    A row of a file is named by the digest of the file's path and its place there, which stays however often it is read;
+    nothing is copied for it. Rows that come from elsewhere are numbered and written, so that their numbers stay.
+    """
+    place = F.concat_ws("#", "_metadata.file_path", F.col("_metadata.row_index").cast("string"))
+    try:
+        return docs.select("*", F.unhex(F.md5(place)).alias(ROW))
+    except AnalysisException:
+        return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def _by_row(rows: DataFrame) -> DataFrame:
-    """Rows as an operator judges them: under their number in place of the identifier."""
+    """Rows as an operator judges them: under their name in place of the identifier."""
     return rows.select(F.col(ROW).alias("doc_id"), "text")
 
 
@@ -41,27 +50,36 @@ def _first_of(rows: DataFrame, judged: DataFrame, group: str, *order: Column) ->
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents that the network rejects go."""
-    rows = _numbered(docs)
+    """Operator 2: documents that the network rejects go.
+
+    Null and empty texts are judged as the network scores a window without words; equal texts get equal verdicts.
+    """
+    rows = _named(docs)
     judged = toxicity(_by_row(rows), table(spark, sf_dir, "labels"), fit_on=docs)
     return _without(rows, judged.filter("predicted = 1"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of equal texts one row stays, the longest."""
-    rows = _numbered(docs)
+    """Operator 10: of equal texts one row stays, the longest; of these the smallest identifier, nulls last, then any one.
+
+    All null, empty and white texts are equal, so one of them stays.
+    """
+    rows = _named(docs)
     return _first_of(rows, exact_dedup(_by_row(rows)), "keep_id", -F.char_length(F.coalesce("text", F.lit(""))))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of each group of near copies the smallest identifier stays."""
-    rows = _numbered(docs)
+    """Operator 8: of each group of near copies the smallest identifier stays, nulls last, of equal ones any one.
+
+    Texts without words are near copies of nothing and stay.
+    """
+    rows = _named(docs)
     return _first_of(rows, jaccard_join(_by_row(rows)), "class_id")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: documents that hold a benchmark passage go."""
-    rows = _numbered(docs)
+    """Operator 1: documents that hold a benchmark passage go; null, empty and very short texts hold none and stay."""
+    rows = _named(docs)
     return _without(rows, find_leaks(_by_row(rows), table(spark, sf_dir, "benchmark")))
 
 

@@ -7,8 +7,8 @@ identifier, and the file that holds its content (the locator). A digest that cam
 normalised texts of all hits are compared byte by byte, and texts that share a digest without being equal are split.
 
 Null text counts as empty; all empty texts are equal to each other. Of equal texts the row with the most code
-points stays, then the smallest identifier (nulls last). Rows that repeat an identifier along with the text are counted
-each and stand or fall together. Empty tables give empty results. Only the identifier and the text are read; other columns are ignored.
+points stays, then the smallest identifier (nulls last). Rows are counted each, and exactly one of a group is kept, also
+where identifiers are null or repeated. Empty tables give empty results. Only the identifier and the text are read; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelledger.llm.common import forced_skew_join, stored, table, text_rows
@@ -46,6 +46,8 @@ def signatures(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
         F.char_length("text").cast("long").alias("n_points"),
         digest(normalised(F.col("text"))).alias("digest"),
         F.input_file_name().alias("locator"),
+        # Fixed once the signatures are written; parts rows that agree in everything else.
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -57,7 +59,7 @@ def better(length: str, ident: str) -> Column:
 def keyed(rows: DataFrame) -> DataFrame:
     """The keyed state of a batch or a stream of signatures."""
     return rows.groupBy("digest").agg(
-        F.min(F.struct(better("n_points", "doc_id").alias("rank"), F.col("locator"))).alias("best"),
+        F.min(F.struct(better("n_points", "doc_id").alias("rank"), F.col("locator"), F.col("row"))).alias("best"),
         F.count(F.lit(1)).alias("n_rows"),
     )
 
@@ -142,21 +144,28 @@ def exact_dedup(
     best = clashing.groupBy("digest", "norm").agg(
         F.min(better("n_points", "doc_id")).alias("rank"), F.count(F.lit(1)).alias("n_rows")
     )
-    mine = text_rows(docs).select("doc_id", normalised(F.col("text")).alias("norm"))
+    mine = text_rows(docs).select(
+        "doc_id", F.char_length("text").cast("long").alias("n_points"), normalised(F.col("text")).alias("norm")
+    )
+    # Of rows that agree in all but their place one stays; only digests that clash come here.
+    alike = Window.partitionBy("digest", "norm", "doc_id", "n_points").orderBy(F.lit(0))
     split = mine.withColumn("digest", digest(F.col("norm"))).join(best, ["digest", "norm"])
+    split = split.withColumn("turn", F.row_number().over(alike))
+    first = better("n_points", "doc_id").eqNullSafe(F.col("rank")) & (F.col("turn") == 1)
 
-    def verdict(found: DataFrame, keep: str, locator: Column) -> DataFrame:
+    def verdict(found: DataFrame, keep: str, kept: Column, locator: Column) -> DataFrame:
         return found.select(
             "doc_id",
             F.col(keep).alias("keep_id"),
             F.col("n_rows").alias("group_size"),
-            F.col("doc_id").eqNullSafe(F.col(keep)).alias("kept"),
+            kept.alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
             locator.alias("keep_locator"),
         )
 
-    return verdict(alone, "best.rank.id", F.col("best.locator")).unionByName(
-        verdict(split, "rank.id", F.lit(None).cast("string"))
+    itself = (F.col("row") == F.col("best.row")) & F.col("locator").eqNullSafe(F.col("best.locator"))
+    return verdict(alone, "best.rank.id", itself, F.col("best.locator")).unionByName(
+        verdict(split, "rank.id", first, F.lit(None).cast("string"))
     )
 
 
@@ -173,7 +182,8 @@ WITH d AS (
 r AS (
   SELECT doc_id, norm, sha256(norm) AS text_sha256,
          COUNT(*) OVER (PARTITION BY norm) AS group_size,
-         FIRST_VALUE(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id
+         FIRST_VALUE(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id,
+         ROW_NUMBER() OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) = 1 AS kept
   FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
 """

@@ -15,6 +15,7 @@ from parcelledger.registry.core import EVENTS_AS_OF, FACTS_AS_OF, Sample, query,
 from parcelledger.registry.rules import SCHEME_START
 from parcelledger.sources import (
     append_load,
+    append_load_named,
     create_version_table,
     export_csv,
     read_version,
@@ -67,6 +68,20 @@ def sink_append_billing(s: Sample) -> DataFrame:
     return s.spark.read.parquet(path)
 
 
+@query(R.oms_aggregate_sql(R.HISTORY))
+def sink_named_table(s: Sample) -> DataFrame:
+    """A table of the catalog: two loads, the first one again with its columns turned around."""
+    path = scratch_dir(s.spark, "named")
+    name = path.rpartition("/")[2].replace("-", "_")
+    rows = _daily(s, R.HISTORY)
+    early = F.coalesce(F.col("pod_date") < F.lit(LAST_MONTHS), F.lit(False))
+    order = ["pod_date", "waybill_source", "cod_flag"]
+    append_load_named(rows.filter(early), name, LOADS[0], order, path)
+    append_load_named(rows.filter(~early), name, LOADS[1], order)
+    append_load_named(rows.filter(early).select(*reversed(rows.columns)), name, LOADS[0], order)
+    return s.spark.table(name).drop("load_day")
+
+
 @query(with_views(R.JOURNEY_VIEWS, f", {R.PLACED_SQL}, {R.journey_ctes('full')} SELECT {JOURNEY_ROWS} FROM journey"))
 def sink_clustered(s: Sample) -> DataFrame:
     """First load of the journey mart in day folders."""

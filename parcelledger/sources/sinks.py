@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 LOAD_DAY = "load_day"
 
 
-def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+    """Rows spread for a table in folders by ``partition`` whose files hold narrow ranges of ``cluster``."""
     # A range shuffle spreads a hot partition value (a daily load has just one) over tasks
     # by the cluster columns and leaves each file with a narrow min/max range of them.
     if not cluster:
@@ -23,7 +24,7 @@ def write_clustered(
     df: DataFrame, path: str, partition: str, cluster: Sequence[str], mode: str = "errorifexists"
 ) -> None:
     """Create a table in folders by ``partition`` with files sorted by ``cluster``."""
-    _clustered(df, partition, cluster).write.mode(mode).partitionBy(partition).parquet(path)
+    clustered(df, partition, cluster).write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def append_load(df: DataFrame, path: str, load_day: date, cluster: Sequence[str]) -> None:
@@ -36,7 +37,7 @@ def append_load(df: DataFrame, path: str, load_day: date, cluster: Sequence[str]
         raise ValueError(f"the rows have a column {LOAD_DAY} of their own")
     loaded = df.withColumn(LOAD_DAY, F.lit(load_day))
     (
-        _clustered(loaded, LOAD_DAY, cluster)
+        clustered(loaded, LOAD_DAY, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DAY)
