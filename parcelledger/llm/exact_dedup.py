@@ -13,6 +13,7 @@ where identifiers are null or repeated. Empty tables give empty results. Only th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -46,7 +47,8 @@ def signatures(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
         F.char_length("text").cast("long").alias("n_points"),
         digest(normalised(F.col("text"))).alias("digest"),
         F.input_file_name().alias("locator"),
-        # Fixed once the signatures are written; parts rows that agree in everything else.
+        # Name the row once the signatures are written; part rows that agree in everything else, also of other runs.
+        F.lit(uuid.uuid4().int >> 65).alias("run"),
         F.monotonically_increasing_id().alias("row"),
     )
 
@@ -59,7 +61,7 @@ def better(length: str, ident: str) -> Column:
 def keyed(rows: DataFrame) -> DataFrame:
     """The keyed state of a batch or a stream of signatures."""
     return rows.groupBy("digest").agg(
-        F.min(F.struct(better("n_points", "doc_id").alias("rank"), F.col("locator"), F.col("row"))).alias("best"),
+        F.min(F.struct(better("n_points", "doc_id").alias("rank"), "locator", "run", "row")).alias("best"),
         F.count(F.lit(1)).alias("n_rows"),
     )
 
@@ -163,7 +165,7 @@ def exact_dedup(
             locator.alias("keep_locator"),
         )
 
-    itself = (F.col("row") == F.col("best.row")) & F.col("locator").eqNullSafe(F.col("best.locator"))
+    itself = (F.col("run") == F.col("best.run")) & (F.col("row") == F.col("best.row"))
     return verdict(alone, "best.rank.id", itself, F.col("best.locator")).unionByName(
         verdict(split, "rank.id", first, F.lit(None).cast("string"))
     )

@@ -129,11 +129,15 @@ def test_exact_dedup(odd, empty, spark, small):
     groups = defaultdict(list)
     for r in rows:
         groups[re.sub(r"[\x20\x09-\x0D]", "", r.text or "")].append((-len(r.text or ""), r.doc_id is None, r.doc_id or 0, r.doc_id))
-    want = Counter()
+    want, stay = Counter(), set()
     for r in rows:
         norm = re.sub(r"[\x20\x09-\x0D]", "", r.text or "")
-        keep = min(groups[norm])[3]
-        want[r.doc_id, keep, len(groups[norm]), r.doc_id == keep, sha(norm)] += 1
+        best = min(groups[norm])
+        # Of rows that agree in everything exactly one stays.
+        kept = norm not in stay and best[0] == -len(r.text or "") and r.doc_id == best[3]
+        stay |= {norm} if kept else set()
+        want[r.doc_id, best[3], len(groups[norm]), kept, sha(norm)] += 1
+    assert sum(n for row, n in want.items() if row[3]) == len(groups)
     assert got == want
     # With one digest for all texts, the comparison of the bytes alone tells them apart.
     assert weak == Counter(row[:4] for row in want.elements())
@@ -146,6 +150,10 @@ def test_state_goes_on(spark, odd, tmp_path):
     exact_dedup.exact_dedup(first, state)
     again = exact_dedup.exact_dedup(odd.filter("doc_id = 5"), state, seen=first).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {(5, 4, False)}
+    # The same rows once more are other rows.
+    exact_dedup.exact_dedup(first, f"{state}-twice")
+    again = exact_dedup.exact_dedup(first.limit(1), f"{state}-twice", seen=first).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in again} == {(4, 4, first.count() + 1)}
 
 
 def test_token_counts(docs, odd, empty):
