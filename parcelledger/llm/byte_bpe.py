@@ -24,11 +24,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelledger.llm.common import stored, table, text_rows
+from parcelledger.llm.common import slices, stored, table, text_rows
 
 #: Size of the dictionary that Spark's functions encode and that every task gets.
 DICTIONARY = 16_384
-MEMO = 500_000
+#: Words that a worker remembers, and bytes of text that it encodes at a time.
+MEMO, SLICE_BYTES = 600_000, 1 << 20
 BUCKETS = 1 << 13
 NO_RANK = 1 << 30
 # Shorter byte arrays are merged by scanning, longer ones with a queue.
@@ -112,20 +113,21 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     if len(piece) > SCANNED:
         return _merge_queued(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    costs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:], strict=False)]
+    # cuts[i] is where part i begins; costs[i] the rank of parts i and i + 1 as one.
+    rank, last = ranks.get, len(piece)
+    cuts = list(range(last + 1))
+    costs = [rank(piece[i : i + 2], NO_RANK) for i in range(last - 1)]
     while costs:
         least = min(costs)
         if least == NO_RANK:
             break
         at = costs.index(least)
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del costs[at]
+        del cuts[at + 1], costs[at]
         if at:
-            costs[at - 1] = ranks.get(parts[at - 1] + parts[at], NO_RANK)
+            costs[at - 1] = rank(piece[cuts[at - 1] : cuts[at + 1]], NO_RANK)
         if at < len(costs):
-            costs[at] = ranks.get(parts[at] + parts[at + 1], NO_RANK)
-    return [ranks[p] for p in parts]
+            costs[at] = rank(piece[cuts[at] : cuts[at + 2]], NO_RANK)
+    return [ranks[piece[i:j]] for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 def _merge_queued(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -154,32 +156,38 @@ def _merge_queued(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-class Encoder:
-    """Turns texts into ids: first by the dictionary, then by a memo of bounded size."""
+class Memo(dict):
+    """Ids of words: those of the dictionary, and of others in two generations, so that words that come back stay known."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, str], memo: int = MEMO):
-        self.ranks, self.cut, self.known, self.most = ranks, regex.compile(pattern), known, memo
-        self.pieces = {rank: piece for piece, rank in ranks.items()}
-        self.memo = dict(known)
+    def __init__(self, known: dict[str, str], ranks: dict[bytes, int], most: int):
+        super().__init__(known)
+        self.known, self.ranks, self.most, self.older = known, ranks, len(known) + most // 2, {}
 
-    def __getitem__(self, word: str) -> str:
-        found = self.memo.get(word)
+    def __missing__(self, word: str) -> str:
+        if len(self) >= self.most:
+            self.older = {w: ids for w, ids in self.items() if w not in self.known}
+            self.clear()
+            self.update(self.known)
+        found = self.older.get(word)
         if found is None:
-            if len(self.memo) >= self.most:
-                self.memo = dict(self.known)
-            found = self.memo[word] = " ".join(map(str, merge_bytes(word.encode(), self.ranks)))
+            found = " ".join(map(str, merge_bytes(word.encode(), self.ranks)))
+        self[word] = found
         return found
 
+
+class Encoder:
+    """Turns texts into ids, by the dictionary first, and ids into bytes."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, str], memo: int = MEMO):
+        self.cut, self.memo = regex.compile(pattern), Memo(known, ranks, memo)
+        self.pieces = {str(rank): piece for piece, rank in ranks.items()}
+
     def encode(self, text: str) -> str:
         """Ids in decimal, one blank between."""
-        words = self.cut.findall(text)
-        try:
-            return " ".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            return " ".join(map(self.__getitem__, words))
+        return " ".join(map(self.memo.__getitem__, self.cut.findall(text)))
 
     def decode(self, ids: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, map(int, ids.split())))
+        return b"".join(map(self.pieces.__getitem__, ids.split()))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -204,12 +212,13 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, most: int = DIC
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(key, ranks_path, pattern, known)
         for batch in batches:
-            ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
-            decoded = [encoder.decode(x) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.string()), pa.array(decoded, pa.binary())],
-                ["doc_id", "ids", "decoded"],
-            )
+            for part in slices(batch, "text", SLICE_BYTES):
+                ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
+                decoded = [encoder.decode(x) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(ids, pa.string()), pa.array(decoded, pa.binary())],
+                    ["doc_id", "ids", "decoded"],
+                )
 
     rows = text_rows(docs)
     ident = rows.schema["doc_id"].dataType.simpleString()

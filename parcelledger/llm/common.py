@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +35,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, cut where the texts of ``column`` would exceed so many bytes; a longer text stands alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = int(sizes[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + most_bytes, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters and digits; an empty array for a text that has none."""
     parts = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " ")
