@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelledger.llm.common import slices, stored, table, text_rows
+from parcelledger.llm.common import held, slices, stored, table, text_rows
 
 #: Size of the dictionary that Spark's functions encode and that every task gets.
 DICTIONARY = 16_384
@@ -190,15 +190,9 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, ids.split()))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder_of(key: str, ranks_path: str, pattern: str, known: dict[str, str]) -> Encoder:
     """One encoder a worker, with the memo of all its tasks: tasks find this function by name."""
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(load_ranks(ranks_path), pattern, known)
-    return _encoders[key]
+    return held(("encoder", key), lambda: Encoder(load_ranks(ranks_path), pattern, known))
 
 
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, most: int = DICTIONARY) -> DataFrame:

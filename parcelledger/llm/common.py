@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,17 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         at = end
 
 
+_held: dict[tuple, Any] = {}
+
+
+def held(key: tuple, make: Callable[[], Any]) -> Any:
+    """What tasks of one operator share in a worker. A worker holds one such thing: the next operator's takes its place."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters and digits; an empty array for a text that has none."""
     parts = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " ")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcelledger.llm.common import table, text_rows
+from parcelledger.llm.common import held, slices, table, text_rows
 
 WINDOW, STRIDE = 32, 24
 SIZE, HIDDEN = 16, 12
@@ -32,7 +32,8 @@ WORD_BUCKETS, PIECE_BUCKETS = 1 << 15, 1 << 14
 #: over it where it has more; scoring has no bound.
 FIT_ROWS, FIT_WINDOWS = 2500, 32
 EPOCHS, BATCH, RATE = 5, 32, 0.02
-MEMO, CHUNK = 400_000, 4096
+#: Words that a worker remembers, windows that it scores at once, and bytes of text that it holds for that.
+MEMO, CHUNK, SLICE_BYTES = 300_000, 2048, 4 << 20
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -196,7 +197,8 @@ class Network:
 
     def _learn_words(self, split: list[list[str]]) -> None:
         if self.projected is None:
-            self.projected = np.zeros((1 << 12, 6 * HIDDEN), np.float32)
+            # Rows take memory when they are first written.
+            self.projected = np.zeros((MEMO + (1 << 16), 6 * HIDDEN), np.float32)
         new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in self.memo]
         if new:
             first = len(self.memo) + 1  # number 0 is the empty place
@@ -349,22 +351,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     windows = known.mapInArrow(cut, f"named {ident}, toxic {kind}, stamp long, windows array<string>")
     one = windows.groupBy("named").agg(F.min(F.struct("stamp", "windows", "toxic")).alias("row"))
     found = sorted(one.select("named", "row.*").collect(), key=lambda r: (r["stamp"], str(r["named"])))
-    return train_windows([[w.split(" ") if w else [] for w in r["windows"]] for r in found], [r["toxic"] for r in found])
+    # Each word once in memory, however many windows hold it.
+    words: dict[str, str] = {}
+    bags = [[[words.setdefault(w, w) for w in window.split(" ")] if window else [] for window in r["windows"]] for r in found]
+    return train_windows(bags, [r["toxic"] for r in found])
 
 
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-_networks: dict[int, Network] = {}
-
-
 def network_of(stamp: int, word: np.ndarray, piece: np.ndarray, dense: dict[str, np.ndarray]) -> Network:
     """One network a worker, with the memo of all its tasks: tasks find this function by name."""
-    if stamp not in _networks:
-        _networks.clear()
-        _networks[stamp] = Network(word, piece, dense)
-    return _networks[stamp]
+    return held(("network", stamp), lambda: Network(word, piece, dense))
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
@@ -375,8 +374,9 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network_of(stamp, word, piece, dense)
         for batch in batches:
-            values = net.score(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
+            for part in slices(batch, "text", SLICE_BYTES):
+                values = net.score(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(values, pa.float64())], ["doc_id", "score"])
 
     rows = text_rows(docs)
     return rows.mapInArrow(scored, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
