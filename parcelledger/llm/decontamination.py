@@ -20,8 +20,8 @@ from parcelledger.llm.common import stored, table, text_rows, words_of
 # The seed family. Every mask has six words that count.
 MASKS = ("111111", "11101011", "11010111")
 SHORTEST, WINDOW, TOLERATED = 8, 13, 2
-# Words kept on both sides of a seed's first position: any window of 13 around a hit lies within.
-REACH = 2 * WINDOW
+# Seeds that one row holds at most: a long text is cut into pieces that overlap by what lies around a seed.
+PIECE = 256
 # A filter of at most this many bits drops document seeds that no item has; beyond it the filter passes more.
 MOST_BITS, LEAST_BITS = 1 << 24, 1 << 16
 # Item seeds are broadcast up to this many rows, and shuffled beyond.
@@ -99,6 +99,32 @@ def _best_window(doc_part: Column, item_part: Column, item_words: Column) -> Col
     return F.array_max(windows)
 
 
+def _spots(docs: DataFrame) -> DataFrame:
+    """(doc_id, base, piece, codes, i, mask, hash) of every seed of every text; the seed begins at word base + i, which is
+    word i of the piece, and the piece has the words that lie around it."""
+    words = text_rows(docs).select("doc_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= SHORTEST)
+    cut = words.select("doc_id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[0]), F.lit(PIECE))).alias("first"))
+    base = F.greatest(F.col("first") - WINDOW, F.lit(0))
+    piece = F.slice("words", base + 1, F.col("first") - base + PIECE + WINDOW)
+    pieces = cut.select("doc_id", base.alias("base"), (F.col("first") - base).alias("skip"), piece.alias("piece"))
+    coded = pieces.select("doc_id", "base", "skip", "piece", _codes(F.col("piece")).alias("codes"))
+    last = F.least(F.col("skip") + PIECE - 1, F.size("piece") - len(MASKS[0]))
+    spots = coded.select("doc_id", "base", "piece", "codes", F.explode(F.sequence("skip", last)).alias("i"))
+    # The second generator gives each seed a row of its own: its hash is computed once, then tested.
+    hashes = F.array(*[_seed(F.col("codes"), F.col("i"), m) for m in range(len(MASKS))])
+    return spots.select("doc_id", "base", "piece", "codes", "i", F.posexplode(hashes).alias("mask", "hash"))
+
+
+def _near(words: Column, at: Column) -> Column:
+    """The words from WINDOW before to WINDOW after a position, as far as there are any."""
+    return F.slice(words, F.greatest(at - WINDOW, F.lit(0)) + 1, F.least(at, F.lit(WINDOW)) + WINDOW + 1)
+
+
+def _filled(near: Column, at: Column) -> Column:
+    """Those words with null for each that is missing at either end."""
+    return F.when(F.size(near) == 2 * WINDOW + 1, near).otherwise(_around(near, F.least(at, F.lit(WINDOW))))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, doc_start, doc_end, n_alignments, best_matches) of every document that holds a benchmark passage.
 
@@ -110,17 +136,12 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     n_seeds = seeds.count()
     cells, bits = _filter_bits(seeds, n_seeds)
 
-    words = text_rows(docs).select("doc_id", words_of(F.col("text")).alias("words"))
-    coded = words.filter(F.size("words") >= SHORTEST).select("doc_id", "words", _codes(F.col("words")).alias("codes"))
-    spots = coded.select(
-        "doc_id", "words", "codes", F.explode(F.sequence(F.lit(0), F.size("words") - len(MASKS[0]))).alias("at")
-    )
-    # The second generator gives each seed a row of its own: its hash is computed once, then tested.
-    hashes = F.array(*[_seed(F.col("codes"), F.col("at"), m) for m in range(len(MASKS))])
     found = (
-        spots.select("doc_id", "words", "at", F.posexplode(hashes).alias("mask", "hash"))
+        _spots(docs)
         .filter(_may_match(F.col("hash"), cells, bits))
-        .select("doc_id", "at", _around(F.col("words"), F.col("at")).alias("doc_part"), "mask", "hash")
+        # A hit keeps the words around it and nothing else of its text.
+        .select("doc_id", (F.col("base") + F.col("i")).alias("at"), _near(F.col("piece"), F.col("i")).alias("near"), "i", "mask", "hash")
+        .select("doc_id", "at", _filled(F.col("near"), F.col("i")).alias("doc_part"), "mask", "hash")
     )
     small = F.broadcast(seeds) if n_seeds <= BROADCAST_SEEDS else seeds
     hits = found.join(small, ["mask", "hash"])
