@@ -71,21 +71,25 @@ def count_in_chunks(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVE
 
 
 class Counter:
-    """Counts texts; remembers the counts of words, and forgets them all when there are too many."""
+    """Counts texts; remembers the counts of words. When there are too many, those that were not met since the last time go."""
 
     def __init__(self, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP, memo: int = MEMO):
         self.tokenizer, self.chunk, self.overlap, self.most = tokenizer, chunk, overlap, memo
         self.memo: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def count(self, text: str) -> int:
         if len(text) > self.chunk:
             return count_in_chunks(self.tokenizer, text, self.chunk, self.overlap)
         words = WORDS.findall(text) if NOT_WHITE.search(text) else text.split()
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
+        new = set(words).difference(self.memo)
         if new:
             if len(self.memo) + len(new) > self.most:
-                self.memo.clear()
-                new = list(dict.fromkeys(words))
+                self.older, self.memo = self.memo, {}
+                new = set(words)
+            met = {w: self.older[w] for w in new if w in self.older}
+            self.memo.update(met)
+            new = list(new.difference(met))
             encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
             self.memo.update(zip(new, map(len, encoded), strict=True))
         return sum(map(self.memo.__getitem__, words))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parcelledger.llm import decontamination
+from parcelledger.llm import decontamination, token_counts
 
 PASSAGE = [f"word{chr(97 + n)}" for n in range(25)]
 
@@ -30,3 +30,24 @@ def test_passages_are_found_wherever_a_text_is_cut(spark):
     items = spark.createDataFrame([(7, " ".join(passage))], "item_id long, text string")
     found = decontamination.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     assert sorted((r.doc_id, r.doc_start, r.doc_end, r.best_matches) for r in found) == [(at, at, at + 13, 11) for at in places]
+
+
+class Recorder:
+    """A tokenizer that notes what it is given; a word has as many tokens as letters."""
+
+    def __init__(self):
+        self.given: list[str] = []
+
+    def encode_batch_fast(self, words, add_special_tokens):
+        self.given += words
+        return words
+
+
+def test_a_full_memo_keeps_the_words_that_still_occur():
+    recorder = Recorder()
+    counter = token_counts.Counter(recorder, memo=10)
+    for n in range(100):
+        rare = [f"rare{n}", f"other{n}"]
+        assert counter.count(" ".join(["the", "of", *rare, "the"])) == 8 + sum(map(len, rare))
+    assert recorder.given.count("the") == recorder.given.count("of") == 1
+    assert len(counter.memo) + len(counter.older) <= 20
