@@ -3,7 +3,7 @@
 A word enters as the sum of an embedding of its own and the mean embedding of its three- and four-letter pieces, both by
 hashed buckets. Two gated recurrent layers read a window of words from either side; attention pools their states to one
 logit. All overlapping windows of a whole text are scored, and the text has the score of its worst window. The network
-is trained in numpy on a bounded sample of labelled rows (FIT_ROWS of each class, FIT_WINDOWS windows of a text): every
+is trained in numpy, in one task, on a bounded sample of labelled rows (FIT_ROWS of each class, FIT_WINDOWS windows of a text): every
 window of a clean text must be clean, and of a toxic text the worst window must be toxic.
 
 Null and empty texts have one window without words and get its score. Repeated rows are scored each; only the text is an
@@ -328,8 +328,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     """Train on rows of labelled identifiers whose crc32(doc_id) mod 5 is not 0.
 
     The identifiers are chosen from the labels; only rows of those chosen are read further, and tasks cut their texts into
-    at most FIT_WINDOWS windows before they reach the driver. Of rows that share an identifier one is taken, by hash of its
-    text.
+    at most FIT_WINDOWS windows. The bounded sample is trained on in one task; the driver gets the weights. Of rows that
+    share an identifier one is taken, by hash of its text.
     """
     chosen = sampled_labels(labels)  # FIT_ROWS identifiers of each class at most
     rows = text_rows(docs)
@@ -350,11 +350,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network:
     ident, kind = known.schema["named"].dataType.simpleString(), known.schema["toxic"].dataType.simpleString()
     windows = known.mapInArrow(cut, f"named {ident}, toxic {kind}, stamp long, windows array<string>")
     one = windows.groupBy("named").agg(F.min(F.struct("stamp", "windows", "toxic")).alias("row"))
-    found = sorted(one.select("named", "row.*").collect(), key=lambda r: (r["stamp"], str(r["named"])))
-    # Each word once in memory, however many windows hold it.
-    words: dict[str, str] = {}
-    bags = [[[words.setdefault(w, w) for w in window.split(" ")] if window else [] for window in r["windows"]] for r in found]
-    return train_windows(bags, [r["toxic"] for r in found])
+    sample = one.select(F.col("named").cast("string").alias("named"), "row.*").repartition(1)
+    weights = {r["name"]: np.frombuffer(r["values"], np.float32).reshape(r["shape"]).copy() for r in sample.mapInArrow(_trained, WEIGHTS).collect()}
+    if not weights:
+        return Network.fresh()
+    return Network(weights.pop("word"), weights.pop("piece"), weights)
+
+
+#: A network as rows: some 3 MB, whatever the sample.
+WEIGHTS = "name string, shape array<int>, values binary"
+
+
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights of the network trained on rows of (named, stamp, windows, toxic), in an order by their values."""
+    words: dict[str, str] = {}  # each word once in memory, however many windows hold it
+    found = []
+    for batch in batches:
+        for low in range(0, batch.num_rows, 64):
+            for r in batch.slice(low, 64).to_pylist():
+                bag = [[words.setdefault(w, w) for w in window.split(" ")] if window else [] for window in r["windows"]]
+                found.append((r["stamp"], r["named"], bag, r["toxic"]))
+    if not found:
+        return
+    found.sort(key=lambda r: r[:2])
+    net = train_windows([bag for _, _, bag, _ in found], [toxic for *_, toxic in found])
+    for name, values in {"word": net.word, "piece": net.piece, **net.dense}.items():
+        flat = [pa.array([name]), pa.array([values.shape], pa.list_(pa.int32())), pa.array([values.astype(np.float32).tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(flat, ["name", "shape", "values"])
 
 
 def held_out():

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from parcelledger.llm import decontamination, token_counts
+import zlib
+
+import numpy as np
+
+from parcelledger.llm import decontamination, token_counts, toxicity
 
 PASSAGE = [f"word{chr(97 + n)}" for n in range(25)]
 
@@ -51,3 +55,19 @@ def test_a_full_memo_keeps_the_words_that_still_occur():
         assert counter.count(" ".join(["the", "of", *rare, "the"])) == 8 + sum(map(len, rare))
     assert recorder.given.count("the") == recorder.given.count("of") == 1
     assert len(counter.memo) + len(counter.older) <= 20
+
+
+def test_the_driver_trains_no_network(spark, monkeypatch):
+    """The sample stays in tasks; the driver gets weights, the same as for texts that it has itself."""
+    texts = [f"{'zonk' if n % 3 == 0 else 'fine'} some words{n % 5} here" for n in range(60)]
+    marks = [int(n % 3 == 0) for n in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    kept = [n for n in range(60) if zlib.crc32(str(n).encode()) % 5]
+    order = sorted(kept, key=lambda n: (zlib.crc32(texts[n].encode()), str(n)))
+    expected = toxicity.train_windows([toxicity.windows_in(texts[n]) for n in order], [marks[n] for n in order])
+    monkeypatch.setattr(toxicity, "train_windows", None)
+    net = toxicity.fit(docs, labels)
+    assert np.allclose(net.word, expected.word, atol=1e-5) and np.allclose(net.piece, expected.piece, atol=1e-5)
+    assert all(np.allclose(net.dense[name], values, atol=1e-5) for name, values in expected.dense.items())
+    assert toxicity.fit(docs.limit(0), labels).dense.keys() == expected.dense.keys()
