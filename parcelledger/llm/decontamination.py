@@ -59,7 +59,8 @@ def _item_seeds(items: DataFrame) -> DataFrame:
 
 
 def _filter_bits(seeds: DataFrame, n_seeds: int) -> tuple[Column, int]:
-    """A bit array over the item seeds, as a literal of bounded size: three bits for each."""
+    """A bit array of bounded size over the item seeds, three bits for each, as a subquery: a literal would stand in the text of
+    every plan that the driver keeps."""
     bits = LEAST_BITS
     while bits < min(MOST_BITS, 64 * n_seeds):
         bits *= 2
@@ -67,10 +68,10 @@ def _filter_bits(seeds: DataFrame, n_seeds: int) -> tuple[Column, int]:
     longs = probes.groupBy(F.shiftright("bit", 6).alias("cell")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % 64)).alias("value")
     )
-    cells = ["0"] * (bits // 64)
-    for row in longs.collect():  # at most MOST_BITS / 64 rows
-        cells[row["cell"]] = str(row["value"])
-    return F.split(F.lit(",".join(cells)), ",").cast("array<bigint>"), bits
+    every = seeds.sparkSession.range(bits // 64).join(longs, F.col("id") == F.col("cell"), "left")  # at most MOST_BITS / 64 rows
+    pairs = F.array_sort(F.collect_list(F.struct("id", F.coalesce("value", F.lit(0).cast("long")).alias("value"))))
+    cells = stored(every.agg(pairs.getField("value").alias("cells")), "leak-filter")
+    return cells.scalar(), bits
 
 
 def _probes(value: Column, bits: int) -> list[Column]:

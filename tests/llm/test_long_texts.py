@@ -5,8 +5,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from parcelledger.llm import decontamination, token_counts, toxicity
+from parcelledger.llm.common import table
 
 PASSAGE = [f"word{chr(97 + n)}" for n in range(25)]
 
@@ -71,3 +73,16 @@ def test_the_driver_trains_no_network(spark, monkeypatch):
     assert np.allclose(net.word, expected.word, atol=1e-5) and np.allclose(net.piece, expected.piece, atol=1e-5)
     assert all(np.allclose(net.dense[name], values, atol=1e-5) for name, values in expected.dense.items())
     assert toxicity.fit(docs.limit(0), labels).dense.keys() == expected.dense.keys()
+
+
+def test_no_plan_spells_out_the_seed_filter(spark, small):
+    """The driver keeps the text of plans; the filter's array was in it, half a megabyte a mention on the large sample."""
+    seeds = decontamination._item_seeds(table(spark, small, "benchmark"))
+    cells, bits = decontamination._filter_bits(seeds, seeds.count())
+    docs = spark.createDataFrame([(1, "a b c d e f g h i")], "doc_id long, text string")
+    spots = decontamination._spots(docs).filter(decontamination._may_match(F.col("hash"), cells, bits))
+    assert len(spots._jdf.queryExecution().toString()) < 100_000
+    set_bits = spark.range(1).select(cells.alias("cells")).first().cells
+    want = seeds.select(F.explode(F.array(*decontamination._probes(F.col("hash"), bits))).alias("bit")).distinct().collect()
+    assert len(set_bits) == bits // 64
+    assert {64 * i + k for i, cell in enumerate(set_bits) for k in range(64) if cell >> k & 1} == {r.bit for r in want}
