@@ -34,30 +34,35 @@ def _summed(rows: DataFrame, run: str) -> DataFrame:
     return rows.groupBy(KEY).agg(*sums).withColumn(RUN, F.lit(run))
 
 
+def _name(rows: DataFrame, run: str) -> DataFrame:
+    """The run's name if it has rows, from the rows themselves: nothing is summed for it."""
+    return rows.limit(1).select(F.lit(run).alias("value"))
+
+
 def _run_name(level: int, load: str) -> str:
     return f"{level:02d}/{load}"
 
 
 def add_load(spark: SparkSession, path: str, rows: DataFrame, load: str, fan_in: int = FAN_IN) -> bool:
     """Add the wallet rows of one named load; False where the table has that load already."""
-    summed = _summed(rows, _run_name(0, load))
+    run = _run_name(0, load)
+    summed, name = _summed(rows, run), _name(rows, run)
     try:
         number = latest_version(spark, path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        create_version_table(summed, path, RUN, [KEY], batch=load)
+        create_version_table(summed, path, RUN, [KEY], batch=load, values=name)
         return True
     if not applied_batches(spark, path).filter(F.col("batch") == load).isEmpty():
         return False
-    _publish_run(path, summed, manifest(spark, path, number), number + 1, load)
+    _publish_run(path, summed, name, manifest(spark, path, number), number + 1, load)
     _merge_full_levels(spark, path, fan_in)
     return True
 
 
-def _publish_run(path: str, summed: DataFrame, kept: DataFrame, number: int, load: str | None) -> None:
-    names = summed.select(F.col(RUN).alias("value")).limit(1)
-    publish(kept.unionByName(write_parts(summed, path, RUN, [KEY], numbered_values(names))), path, number, load)
+def _publish_run(path: str, summed: DataFrame, name: DataFrame, kept: DataFrame, number: int, load: str | None) -> None:
+    publish(kept.unionByName(write_parts(summed, path, RUN, [KEY], numbered_values(name))), path, number, load)
 
 
 def _merge_full_levels(spark: SparkSession, path: str, fan_in: int) -> None:
@@ -72,7 +77,7 @@ def _merge_full_levels(spark: SparkSession, path: str, fan_in: int) -> None:
             return
         old = read_folders(spark, path, sorted(r["folder"] for r in by_level[full]))
         name = _run_name(int(full) + 1, f"version {number + 1}")
-        _publish_run(path, _summed(old, name), runs.filter(~F.col("value").startswith(f"{full}/")), number + 1, None)
+        _publish_run(path, _summed(old, name), _name(old, name), runs.filter(~F.col("value").startswith(f"{full}/")), number + 1, None)
 
 
 def totals(spark: SparkSession, path: str) -> DataFrame:

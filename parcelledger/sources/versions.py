@@ -97,8 +97,13 @@ def numbered_values(values: DataFrame) -> DataFrame:
     return values.sparkSession.createDataFrame(data, StructType([*values.schema, StructField(PART, IntegerType())]))
 
 
-def create_version_table(df: DataFrame, path: str, partition: str, cluster: Sequence[str], batch: str | None = None) -> None:
-    """First version of a new table; on an existing one a full refresh, which readers see at once and whole."""
+def create_version_table(
+    df: DataFrame, path: str, partition: str, cluster: Sequence[str], batch: str | None = None, values: DataFrame | None = None
+) -> None:
+    """First version of a new table; on an existing one a full refresh, which readers see at once and whole.
+
+    ``values`` holds the distinct partition values (value) where they are known without a pass over the rows.
+    """
     spark = df.sparkSession
     if PART in df.columns:
         raise ValueError(f"the rows have a column {PART} of their own")
@@ -109,5 +114,6 @@ def create_version_table(df: DataFrame, path: str, partition: str, cluster: Sequ
             raise
         number = 1
         df.limit(0).write.mode("overwrite").parquet(f"{path}/schema")
-    values = df.select(F.col(partition).alias("value")).distinct()
+    if values is None:
+        values = df.select(F.col(partition).alias("value")).distinct()
     publish(write_parts(df, path, partition, cluster, numbered_values(values)), path, number, batch)

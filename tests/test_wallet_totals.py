@@ -50,3 +50,15 @@ def test_a_day_of_billing_does_not_read_the_history(spark, small):
     assert "LeftSemi" in text
     assert day.count() == billing.daily_billing(tables, date(2001, 8, 2)).count()
     assert day.exceptAll(billing.daily_billing(tables, date(2001, 8, 2))).count() == 0
+
+
+def test_the_name_of_a_run_is_found_without_a_sum(spark):
+    """The name was read off the sums, so each load and merge was spread and summed once more than needed."""
+    rows = spark.createDataFrame([("w1", Decimal(1), Decimal(1), Decimal(1))], FIELDS)
+    name = wallet_totals._name(rows, "00/a")
+    assert [r.value for r in name.collect()] == ["00/a"]
+    plan = name._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "hashpartitioning" not in plan
+    path = scratch_dir(spark, "totals-empty")
+    assert wallet_totals.add_load(spark, path, rows.limit(0), "none") and wallet_totals.totals(spark, path).isEmpty()
+    assert wallet_totals.add_load(spark, path, rows, "one") and wallet_totals.totals(spark, path).count() == 1
