@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding (operator 7).
 
-Ranked merges are folded over the byte array of a word with Spark's higher-order functions; the rank map is a literal,
+Ranked merges are folded over the byte array of a word with Spark's higher-order functions; the rank map is a subquery,
 cut into buckets because Spark searches a map from its start. So encoded are the words of a dictionary of bounded size:
 the words that occur most often in the corpus, counted over all of it. A text is cut by the tokenizer's pattern; its
 words take their ids from the dictionary, and the rest, the long tail, is folded by the same rule where the text is. Ids
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +30,8 @@ DICTIONARY = 16_384
 #: Words that a worker remembers, and bytes of text that it encodes at a time.
 MEMO, SLICE_BYTES = 600_000, 1 << 20
 BUCKETS = 1 << 13
+# Groups of words that are folded with one copy of the ranks, and tasks that fold them.
+GROUPS, TASKS = 256, 64
 NO_RANK = 1 << 30
 # Shorter byte arrays are merged by scanning, longer ones with a queue.
 SCANNED = 64
@@ -41,13 +42,20 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks by hex text, as one literal array of small maps."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        name = piece.hex().upper()
-        buckets[zlib.crc32(name.encode()) % BUCKETS][name] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+def rank_map(spark: SparkSession, ranks: dict[bytes, int]) -> Column:
+    """The ranks by hex text, an array of small maps as a subquery: a literal would stand in every plan that the driver keeps."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets: list[list[tuple[str, int]]] = [[] for _ in range(BUCKETS)]
+        for piece, rank in ranks.items():
+            name = piece.hex().upper()
+            buckets[zlib.crc32(name.encode()) % BUCKETS].append((name, rank))
+        kind = pa.list_(pa.map_(pa.string(), pa.int32()))
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([buckets] * batch.num_rows, kind)], ["ranks"])
+
+    made = spark.range(1, numPartitions=1).mapInArrow(cut, "ranks array<map<string,int>>")
+    return stored(made, "bpe-ranks").scalar()
 
 
 def _rank(ranks: Column, piece: Column) -> Column:
@@ -89,13 +97,28 @@ def fold_merges(word: Column, ranks: Column) -> Column:
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids, decoded): ids of each word, and the bytes that they stand for."""
-    literal = rank_map(ranks)
-    pieces = words.select("word", fold_merges(F.col("word"), literal).alias("pieces"))
+    """(word, ids, decoded): ids of each word, and the bytes that they stand for.
+
+    The ranks are a column, as a subquery can't stand in a higher-order function; one row has many words, so it is rarely copied.
+    """
+    part = F.pmod(F.xxhash64("word"), F.lit(GROUPS)).alias("part")
+    grouped = words.select("word", part).repartition(TASKS, "part").groupBy("part").agg(F.collect_list(F.struct("word")).alias("words"))
+    ranked = grouped.select("words", rank_map(words.sparkSession, ranks).alias("ranks"))
+    ranks_of, folded = F.col("ranks"), F.col("folded")
+    pieces = ranked.select(
+        "ranks", F.transform("words", lambda w: F.struct(w.word.alias("word"), fold_merges(w.word, ranks_of).alias("pieces"))).alias("folded")
+    )
     return pieces.select(
-        "word",
-        F.transform("pieces", lambda p: _rank(literal, p)).alias("ids"),
-        F.unhex(F.array_join("pieces", "")).alias("decoded"),
+        F.inline(
+            F.transform(
+                folded,
+                lambda w: F.struct(
+                    w.word.alias("word"),
+                    F.transform(w.pieces, lambda p: _rank(ranks_of, p)).alias("ids"),
+                    F.unhex(F.array_join(w.pieces, "")).alias("decoded"),
+                ),
+            )
+        )
     )
 
 
@@ -198,7 +221,7 @@ def encoder_of(key: str, ranks_path: str, pattern: str, known: dict[str, str]) -
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, most: int = DICTIONARY) -> DataFrame:
     """(doc_id, ids, decoded) of each row: ids in decimal joined by blanks, and the bytes that they decode to."""
     ranks = load_ranks(ranks_path)
-    words = stored(frequent_words(docs, pattern, most).repartition(64, "word"), "bpe-frequent")
+    words = stored(frequent_words(docs, pattern, most), "bpe-frequent")
     encoded = stored(encode_words(words, ranks), "bpe-dictionary")
     known = {r["word"]: " ".join(map(str, r["ids"])) for r in encoded.collect()}  # at most ``most`` rows
     key = uuid.uuid4().hex

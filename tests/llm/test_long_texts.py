@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from parcelledger.llm import decontamination, token_counts, toxicity
+from parcelledger.llm import byte_bpe, decontamination, token_counts, toxicity
 from parcelledger.llm.common import table
 
 PASSAGE = [f"word{chr(97 + n)}" for n in range(25)]
@@ -86,3 +86,14 @@ def test_no_plan_spells_out_the_seed_filter(spark, small):
     want = seeds.select(F.explode(F.array(*decontamination._probes(F.col("hash"), bits))).alias("bit")).distinct().collect()
     assert len(set_bits) == bits // 64
     assert {64 * i + k for i, cell in enumerate(set_bits) for k in range(64) if cell >> k & 1} == {r.bit for r in want}
+
+
+def test_no_plan_spells_out_the_ranks(spark):
+    """Each mention of the ranks was a literal of the whole file: in the plan, and as objects in the driver's memory."""
+    ranks = {bytes([i]): i for i in range(256)} | {b"%d" % i: i for i in range(256, 9000)}
+    words = spark.createDataFrame([("12345",), ("\x00\x01",), ("",)], "word string")
+    encoded = byte_bpe.encode_words(words, ranks)
+    assert len(encoded._jdf.queryExecution().toString()) < 100_000
+    assert {r.word: (r.ids, bytes(r.decoded)) for r in encoded.collect()} == {
+        w.word: (byte_bpe.merge_bytes(w.word.encode(), ranks) if w.word else [], w.word.encode()) for w in words.collect()
+    }
