@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from parcelledger.operators import latest_by, on_days, ranked_with_totals, recent, tier_lookup
+from parcelledger.functions import local_datetime
+from parcelledger.operators import latest_by, lookup, on_days, ranked_with_totals, recent, tier_lookup
 from parcelledger.plans import billing, oms, region
 from parcelledger.sources import scratch_dir
 from parcelledger.sources.sample import BILLING, FINANCE, sample_tables, view
+from parcelledger.sources.tables import Tables
 
 AS_OF = date(2001, 8, 2)
 MEDIUM = "/root/testdata/sf0.01"
@@ -97,6 +100,57 @@ def test_extract_joins_facts_by_waybill_only(spark, small):
     assert len([s for s in spreads if s.startswith("waybill_no#") and len(s.split("#")) == 2]) <= 2, spreads
 
 
+def test_extract_spreads_its_wide_rows_once(spark, small):
+    """All went by customer first, and then by waybill; now only rows without a waybill number go by customer."""
+    lines = _at_scale(spark, lambda: oms.finance_extract(sample_tables(spark, MEDIUM, FINANCE), AS_OF, days=3000)).splitlines()
+    spreads = [(a.split("hashpartitioning(")[1], b) for a, b in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning(" in a]
+    wide = [key.split("#")[0] for key, below in spreads if "receivable_shipping_fee" in below or "Union" in below]
+    assert sorted(wide) == ["vip_customer_id", "waybill_no"], spreads
+    # The rows that go by waybill are a union of those with and without a number.
+    assert [key for key, below in spreads if "Union" in below and key.startswith("waybill_no#")], spreads
+
+
+def test_billing_code_is_small_enough_to_be_compiled(spark, small):
+    """The JVM compiles no method above 8,000 bytes; the rules stood in one of 20,544."""
+    tables = sample_tables(spark, MEDIUM, BILLING)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        done = billing.daily_billing(tables, AS_OF, days=2500)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(done)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert max(sizes) < 8000, sizes
+
+
+def test_customer_accounts_meet_narrow_rows(spark):
+    customers = [(1, None, "A", "a"), (2, 1, None, "b"), (2, 1, None, "b"), (3, 9, None, None)]
+    schema = "id long, vip_parent_id long, sap_bp_code string, sap_bp_name string"
+    tables = Tables({"res_vip_customer": spark.createDataFrame(customers, schema)})
+    numbers = [("W1", 1), ("W1", 1), ("W1", 2), ("W2", None), (None, 2), (None, 7), (None, None), ("W3", 3), ("W4", 8)]
+    rows = spark.createDataFrame([(i, *n) for i, n in enumerate(numbers)], "row int, waybill_no string, vip_customer_id long")
+    accounts = oms._customer_accounts(tables)
+    want = lookup(rows, accounts, {"id": "vip_customer_id"}, {"bp_code": "bp_code", "bp_name": "bp_name"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = oms._pair_accounts(oms._own_accounts(rows, accounts), rows, accounts)
+        assert Counter(found.collect()) == Counter(want.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
+
+
+def test_local_times_parse_no_zone_names(spark):
+    rows = spark.sql("SELECT i, timestamp_ntz'2024-03-10 04:00:00' + i * INTERVAL '31' MINUTE AS at FROM (SELECT explode(sequence(-9000, 9000, 7)) AS i)")
+    for tz in ("Asia/Jakarta", "America/New_York"):
+        both = rows.select(local_datetime("at", tz).alias("a"), F.convert_timezone(F.lit("UTC"), F.lit(tz), "at").alias("b"))
+        assert both.filter("a IS DISTINCT FROM b").count() == 0
+        assert dict(both.dtypes)["a"] == "timestamp_ntz"
+    assert "convert_timezone" not in plan(rows.select(local_datetime("at")))
+
+
 def _spreads(text: str) -> list[str]:
     return [line.split("hashpartitioning(")[1] for line in text.splitlines() if "Exchange hashpartitioning(" in line]
 
