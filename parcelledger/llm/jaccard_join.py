@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelledger.llm.common import components, forced_skew_join, stored, table, text_rows
-from parcelledger.llm.runs import by_key, labels_of, runs, shares_smaller, tiled, within_tiles
+from parcelledger.llm.common import components, forced_skew_join, held, stored, table, text_rows
+from parcelledger.llm.runs import SOME, by_key, labels_of, runs, shares_smaller, tiled, within_tiles
 
 WORDS, SIMILAR, RECALL = 5, 0.8, 0.999
 HASHES, BRANCHES, DEPTH = 64, 2, 16
@@ -51,7 +51,6 @@ def runs_needed(recall: float = RECALL, similar: float = SIMILAR) -> int:
 _coefficients = np.random.default_rng(20240229)
 _FACTORS = _coefficients.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _coefficients.integers(0, 2**63, HASHES, dtype=np.uint64)
-_words: dict[str, int] = {}
 
 
 def shingles(text: str) -> np.ndarray:
@@ -59,12 +58,13 @@ def shingles(text: str) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_words) > MEMO:
-        _words.clear()
+    known = held(("shingle words",), dict)
+    if len(known) > MEMO:
+        known.clear()
     for w in words:
-        if w not in _words:
-            _words[w] = xxhash.xxh64_intdigest(w)
-    codes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+        if w not in known:
+            known[w] = xxhash.xxh64_intdigest(w)
+    codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(codes))
     mixed = np.full(len(codes) - width + 1, np.uint64(len(codes) if width < WORDS else 0))
     for i in range(width):
@@ -172,9 +172,9 @@ def overlap(sets: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(sets), len(sets)), dtype=np.float32)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    for low in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
-        a, b = np.searchsorted(column, [low, low + 4096])
-        part = np.zeros((len(sets), 4096), dtype=np.float32)
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, SOME):
+        a, b = np.searchsorted(column, [low, low + SOME])
+        part = np.zeros((len(sets), SOME), dtype=np.float32)
         part[owner[a:b], column[a:b] - low] = 1
         out += part @ part.T
     return out
@@ -189,9 +189,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [np.frombuffer(x, np.uint64) for x in task["content"].to_pylist()]
         sizes = np.array([len(s) for s in sets], dtype=np.float32)
         common = overlap(sets)
-        linked = (common >= SIMILAR * (sizes[:, None] + sizes[None, :] - common) - 1e-3) & _examined(task)
-        weight = task["weight"].to_numpy().astype(np.float64)
-        links = (linked @ weight).astype(np.int64)
+        linked, weight = _examined(task), task["weight"].to_numpy().astype(np.float64)
+        links = np.empty(len(sets), np.int64)
+        for at in range(0, len(sets), SOME):  # some rows at a time
+            part = common[at : at + SOME]
+            linked[at : at + SOME] &= part >= SIMILAR * (sizes[at : at + SOME, None] + sizes[None, :] - part) - 1e-3
+            links[at : at + SOME] = linked[at : at + SOME] @ weight
         chosen = np.flatnonzero(links > 0)
         near = task["id"].take(labels_of(linked)[chosen]).combine_chunks()
         yield pa.RecordBatch.from_arrays(
