@@ -110,6 +110,34 @@ def test_extract_spreads_its_wide_rows_once(spark, small):
     assert [key for key, below in spreads if "Union" in below and key.startswith("waybill_no#")], spreads
 
 
+def test_extract_spreads_codes_not_names(spark, small):
+    """The names of six codes went with each of the wide rows."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        text = _at_scale(spark, lambda: oms.finance_extract(sample_tables(spark, MEDIUM, FINANCE), AS_OF, days=3000))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    depth = [len(a) - len(a.lstrip(" :+-")) for a in text.splitlines()]
+    lines = text.splitlines()
+    (spread,) = [i for i, a in enumerate(lines) if "hashpartitioning(waybill_no#" in a and "Union" in lines[i + 1]]
+    below = lines[spread + 1 : next((i for i in range(spread + 1, len(lines)) if depth[i] <= depth[spread]), len(lines))]
+    assert any("pod_flag" in a for a in below) and not any("option_name" in a or "pod_name" in a for a in below)
+
+
+def test_extract_in_passes_is_the_extract(spark, small, monkeypatch):
+    """All rows were spread at once; in passes by waybill number they are the same, also those without a number."""
+    tables = sample_tables(spark, small, FINANCE)
+    parcels = tables["dm_waybill_waybill"]
+    key = F.when(F.col("waybill_no") != F.lit("W1"), F.col("waybill_no"))
+    tables = tables.with_tables(dm_waybill_waybill=parcels.union(parcels.limit(5)).withColumn("waybill_no", key))
+    want = Counter(oms.finance_extract(tables, AS_OF, days=3000).collect())
+    parts, real = [], oms.finance_extract
+    monkeypatch.setattr(oms, "finance_extract", lambda *x, **y: (parts.append(1), real(*x, **y))[1])
+    got = oms.finance_extract_in_passes(tables, AS_OF, days=3000, rows=max(1, sum(want.values()) // 3))
+    assert len(parts) >= 3
+    assert got.dtypes == real(tables, AS_OF, days=3000).dtypes and Counter(got.collect()) == want
+
+
 def test_billing_code_is_small_enough_to_be_compiled(spark, small):
     """The JVM compiles no method above 8,000 bytes; the rules stood in one of 20,544."""
     tables = sample_tables(spark, MEDIUM, BILLING)
